@@ -1,0 +1,152 @@
+"""The year of one meter through the whole pipeline, against the known results."""
+
+import csv
+import io
+import math
+import os
+
+import pytest
+from fixtures import golden_year
+
+from gridtally.plans.jobs import main
+from gridtally.schemas import DAILY, HOURLY, MONTHLY
+
+MONTHS = [(2021, 12, 200.0, 200.0, 200.0, 1)] + [
+    (2022, month, 2400.0 * days, 2400.0, 2400.0, days)
+    for month, days in zip(range(1, 12), (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30))
+] + [(2022, 12, 74200.0, 2393.548387, 2400.0, 31)]
+
+EXPECTED = {
+    "yearly_consumption": (["year", "yearly_kwh"], [(2021, 200.0), (2022, 875800.0)]),
+    "top_meters_by_year": (
+        ["ext_dev_ref", "year", "yearly_kwh"],
+        [("ext_device_1", 2022, 875800.0), ("ext_device_1", 2021, 200.0)]),
+    "hourly_profile_avg": (
+        ["hour", "avg_kwh", "samples"],
+        [(0, 100.27397260273973, 365)] + [(h, 100.0, 365) for h in range(1, 24)]),
+    "peak_hours_distribution": (
+        ["peak_hour", "occurrences", "avg_peak_kwh"],
+        [(0, 365, 100.27397260273973), (22, 1, 100.0)]),
+    "holiday_vs_nonholiday": (
+        ["is_holiday", "days", "avg_daily_kwh"],
+        [(1, 15, 2400.0), (0, 351, 2393.162393162393)]),
+    "vacation_effect": (
+        ["is_summer_vacation", "days", "avg_daily_kwh"],
+        [(1, 62, 2400.0), (0, 304, 2392.1052631578946)]),
+    "monthly_trends": (["year", "month", "total_kwh"], [m[:3] for m in MONTHS]),
+    "consumption_categories": (
+        ["consumption_category", "cnt", "avg_daily_kwh"], [("high", 366, 2393.44262295082)]),
+    "similar_meters": (["ext_dev_ref", "avg_daily_kwh"], [("ext_device_1", 2393.44262295082)]),
+    "night_day_consumption": (["night_kwh", "day_kwh"], [(255500.0, 219000.0)]),
+    "peak_to_mean_outliers": (DAILY.names, []),
+}
+
+
+@pytest.fixture(scope="module")
+def run(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("golden")
+    golden_year(spark).repartition(3).write.parquet(str(root / "input"))
+    status = main(spark, str(root / "input" / "*.parquet"), str(root / "csv"), str(root / "tables"),
+                  str(root / "reports"))
+    return root, status
+
+
+def read_csv(folder):
+    """Header and rows of a folder of CSV parts, in file order."""
+    header, rows = None, []
+    for name in sorted(os.listdir(folder)):
+        if name.startswith("part-"):
+            with open(os.path.join(folder, name), newline="") as f:
+                lines = list(csv.reader(io.StringIO(f.read())))
+            if lines:
+                header, found = lines[0], lines[1:]
+                rows += found
+    return header, rows
+
+
+def assert_rows(found, expected):
+    assert len(found) == len(expected)
+    for got, want in zip(found, expected):
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            if isinstance(b, float):
+                assert math.isclose(float(a), b, rel_tol=1e-12), (got, want)
+            else:
+                assert a == str(b), (got, want)
+
+
+@pytest.mark.parametrize("name", EXPECTED)
+def test_report(run, name):
+    root, _ = run
+    columns, rows = EXPECTED[name]
+    header, found = read_csv(root / "reports" / f"{name}.csv")
+    if header is not None or rows:
+        assert header == columns
+    assert_rows(found, rows)
+
+
+def test_monthly_csv(run):
+    root, _ = run
+    header, found = read_csv(root / "csv" / "meter_monthly_agg.csv")
+    assert header == MONTHLY.names
+    assert_rows(found, [("111111", "ext_device_1", *m) for m in MONTHS])
+
+
+def test_status(run):
+    _, status = run
+    rows = {r.report: r for r in status.collect()}
+    assert set(rows) == set(EXPECTED)
+    assert all(r.status == "ok" for r in rows.values())
+    assert {n: r.n_rows for n, r in rows.items()} == {n: len(e[1]) for n, e in EXPECTED.items()}
+
+
+def test_stored_tables(spark, run):
+    root, _ = run
+    assert spark.table("meter_hourly").dtypes == [(f.name, f.dataType.simpleString()) for f in HOURLY]
+    assert spark.table("meter_daily").dtypes == [(f.name, f.dataType.simpleString()) for f in DAILY]
+    assert spark.table("meter_monthly").dtypes == [(f.name, f.dataType.simpleString()) for f in MONTHLY]
+    assert spark.table("meter_daily_rolling_7d").count() == 366
+    assert (root / "tables" / "meter_hourly" / "year=2022" / "month=7").is_dir()
+
+
+def test_daily_values(spark, run):
+    days = {str(r.date_local): r for r in spark.table("meter_daily").collect()}
+    want = {
+        # date: total, hourly_count, peak_hour, ratio, night, evening, cumulative
+        "2021-12-31": (200, 2, 22, 1.0, 0, 200, 200),
+        "2022-03-27": (2400, 24, 0, 1.0, 600, 700, 206600),
+        "2022-10-30": (2400, 23, 0, 23 / 12, 800, 500, 727400),
+        "2022-12-31": (2200, 22, 0, 1.0, 700, 400, 876000),
+    }
+    for date, values in want.items():
+        r = days[date]
+        got = (r.total_kwh, r.hourly_count, r.peak_hour, r.peak_to_mean_ratio, r.night_kwh, r.day_kwh,
+               r.cumulative_total_kwh)
+        assert got == pytest.approx(values)
+    assert days["2022-12-31"].rolling_7d_total_kwh == 2371.428571
+
+
+def test_hourly_csvs(run):
+    root, _ = run
+    header, rows = read_csv(root / "csv" / "meter_hourly_raw.csv")
+    assert header == HOURLY.names[:8]
+    assert len(rows) == 8760
+    assert rows == sorted(rows, key=lambda r: (r[1], r[5]))
+    assert rows[0] == ["111111", "ext_device_1", "PT1H", "2022-01-01", "0",
+                       "2022-01-01T00:00:00+02:00", "2021-12-31T22:00:00+00:00", "100.0"]
+    header, rows = read_csv(root / "csv" / "meter_hourly_features.csv")
+    assert header == HOURLY.names
+    assert len(rows) == 8760
+    assert rows[0][8] == "2021-12-31 22:00:00"
+    header, rows = read_csv(root / "csv" / "meter_daily_agg.csv")
+    assert header == DAILY.names
+    assert len(rows) == 366
+
+
+def test_run_metrics(spark, run):
+    root, _ = run
+    counts = {r.step: r.n_rows for r in spark.read.parquet(str(root / "tables" / "run_metrics")).collect()}
+    assert counts == {
+        "meter_days_read": 365, "meter_days_rejected": 0, "hours_expanded": 8760, "hours_unparsed": 0,
+        "meter_hourly_written": 8760, "meter_daily_written": 366, "meter_monthly_written": 13,
+    }
