@@ -18,13 +18,12 @@ from gridtally.operators.lookback import (
 from gridtally.operators.monthly import derive_monthly_from_daily
 from gridtally.operators.similarity import add_daily_load_shape_similarity
 from gridtally.plans.jobs import run_etl, run_queries
-from gridtally.plans.pipeline import Options, build_tables, daily_table, hourly_table, hours_with_time
+from gridtally.plans.pipeline import BuiltTables, Options, daily_table, hourly_table, hours_with_time
 from gridtally.plans.reports import REPORTS, similar_meters
 from gridtally.schemas import METER_DAYS
-from gridtally.settings import DAILY_TABLE, HOURLY_TABLE
+from gridtally.settings import HOURLY_TABLE
 from gridtally.sources.meter_days import drop_repeated_meter_days, read_all_parquets
 from gridtally.sources.tables import (
-    open_tables,
     read_sql_to_df,
     save_table,
     scratch_folder,
@@ -194,7 +193,7 @@ _REPORT_MEANS = {
 
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        result = REPORTS[name](build_tables(meter_raw(spark, sf_dir), OPTIONS))
+        result = REPORTS[name](BuiltTables(meter_raw(spark, sf_dir), OPTIONS))
         return _rounded(result, *_REPORT_MEANS.get(name, []))
 
     run.__name__ = name
@@ -202,7 +201,7 @@ def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def similar_meters_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = build_tables(meter_raw(spark, sf_dir), OPTIONS)
+    tables = BuiltTables(meter_raw(spark, sf_dir), OPTIONS)
     return _rounded(similar_meters(tables, target_dev_ref="dev_3"), "avg_daily_kwh")
 
 
@@ -252,7 +251,7 @@ def parquet_scan_by_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_over_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark)
-    tables = build_tables(meter_raw(spark, sf_dir), OPTIONS)
+    tables = BuiltTables(meter_raw(spark, sf_dir), OPTIONS)
     for name, df in tables.items():
         if name != "meter_daily_rolling_7d":
             save_table(df, name, root)

@@ -13,20 +13,16 @@ def _epoch() -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz")
 
 
-def plus_hours(ts: Column, hours: Column) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), hours)
-
-
 def utc_midnight(day: Column, timezone: str) -> Column:
     """Naive UTC time of the local midnight that begins ``day``."""
     return F.convert_timezone(F.lit(timezone), F.lit("UTC"), day.cast("timestamp_ntz"))
 
 
-def midnight_offset_text(day: Column, timezone: str) -> Column:
-    """UTC offset at local midnight as ``+HH:MM``."""
+def midnight_offset_text(day: Column, utc: Column) -> Column:
+    """UTC offset at local midnight as ``+HH:MM``; ``utc`` is that midnight in UTC."""
     # The difference of two naive times is an interval; timestamp_diff would first
     # take both of them through the session zone.
-    offset = day.cast("timestamp_ntz") - utc_midnight(day, timezone)
+    offset = day.cast("timestamp_ntz") - utc
     hours, minutes = F.extract(F.lit("HOUR"), offset), F.extract(F.lit("MINUTE"), offset)
     two_digits = lambda n: F.lpad(F.abs(n).cast("string"), 2, "0")
     return F.concat(
@@ -35,9 +31,16 @@ def midnight_offset_text(day: Column, timezone: str) -> Column:
     )
 
 
-def iso_text(ts: Column) -> Column:
-    """``2022-03-27T01:00:00``; a cast, because date_format would go through the session zone."""
-    return F.translate(ts.cast("string"), " ", "T")
+def hours_from(start: Column, n: int) -> Column:
+    """Array of the ``n`` hours that begin at ``start``.  Stepping through a sequence is
+    plain arithmetic, where adding an interval to every hour goes through java.time."""
+    one = F.make_dt_interval(F.lit(0), F.lit(1))
+    return F.sequence(start, start + F.make_dt_interval(F.lit(0), F.lit(n - 1)), one)
+
+
+def hour_text(hour: Column) -> Column:
+    """``T00`` to ``T23``."""
+    return F.array(*[F.lit(f"T{h:02d}") for h in range(24)])[hour]
 
 
 def utc_from_instant(ts: Column) -> Column:

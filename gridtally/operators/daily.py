@@ -39,9 +39,9 @@ def aggregate_daily_measures(df: DataFrame) -> DataFrame:
     sort all hours first.
     """
     df = _with_date(df)
-    kwh, hour = F.col("kwh"), F.col("hour")
+    kwh = F.col("kwh")
     sum_between = lambda first, last: F.coalesce(
-        F.sum(F.when(hour.between(first, last), kwh)), F.lit(0.0))
+        F.expr(f"sum(kwh) FILTER (WHERE hour BETWEEN {first} AND {last})"), F.lit(0.0))
     hours = (
         df.select(*METER_KEY, "date_local", "hour", reading(df).alias("kwh"))
         .dropna(subset=[*METER_KEY, "date_local"])
@@ -54,7 +54,8 @@ def aggregate_daily_measures(df: DataFrame) -> DataFrame:
         F.count(kwh).alias("hourly_count"),
         sum_between(*NIGHT_HOURS).alias("night_kwh"),
         sum_between(*DAY_HOURS).alias("day_kwh"),
-        F.array(*[F.max(F.when(hour == h, kwh)) for h in range(HOURS_PER_DAY)]).alias("_by_hour"),
+        F.array(*[F.expr(f"max(kwh) FILTER (WHERE hour = {h})") for h in range(HOURS_PER_DAY)])
+        .alias("_by_hour"),
     )
     peak_hour = F.array_position("_by_hour", F.col("max_kwh")).cast("int") - 1
     return days.select(

@@ -58,32 +58,40 @@ def expand_daily_array_to_hourly(df: DataFrame, date_col: str = "date",
     check_columns(df, date_col, arr_col)
     resolution = F.col("resolution") if "resolution" in df.columns else F.lit(None)
 
-    # Whatever depends on the day alone is computed here, once per 24 hours.
-    day = F.col("_day")
+    # Whatever depends on the day alone is computed here, once per 24 hours; an hour
+    # then only picks from it.  The UTC hours of a local day fall on two dates.
+    day, midnight = F.col("_day"), F.col("_midnight")
     days = (
         df.where(_array_size(arr_col) == HOURS_PER_DAY)
         .select("client_id", "ext_dev_ref", resolution.cast("string").alias("resolution"),
                 times.to_day(df, date_col).alias("_day"), F.col(arr_col).alias("_readings"), *keep)
         .where(day.isNotNull())
-        .withColumns({
-            "date_local": day.cast("string"),
-            "_offset": times.midnight_offset_text(day, timezone),
-            "_midnight": times.utc_midnight(day, timezone),
-        })
+        .withColumn("_midnight", times.utc_midnight(day, timezone))
     )
+    days = days.select(
+        "client_id", "ext_dev_ref", "resolution", "_readings", *keep,
+        day.cast("string").alias("date_local"),
+        F.concat(F.lit(":00:00"), times.midnight_offset_text(day, midnight)).alias("_local_end"),
+        times.hours_from(midnight, HOURS_PER_DAY).alias("_utc"),
+        F.to_date(midnight).cast("string").alias("_utc_day"),
+        F.date_add(F.to_date(midnight), 1).cast("string").alias("_utc_next_day"),
+        F.concat(F.substring(midnight.cast("string"), 14, 6), F.lit("+00:00")).alias("_utc_end"),
+        F.hour(midnight).alias("_utc_first_hour"),
+    )
+    # A select of its own: Spark evaluates what stands beside an explode after it.
     hours = days.select(
-        "client_id", "ext_dev_ref", "resolution", "date_local", "_offset", "_midnight", *keep,
+        *[c for c in days.columns if c != "_readings"],
         F.posexplode("_readings").alias("hour", "_reading"),
     )
-    utc = times.plus_hours(F.col("_midnight"), F.col("hour"))
-    wall_clock = F.concat(F.lit("T"), F.lpad(F.col("hour").cast("string"), 2, "0"), F.lit(":00:00"))
+    utc_hour = F.col("_utc_first_hour") + F.col("hour")
+    utc_day = F.when(utc_hour < HOURS_PER_DAY, F.col("_utc_day")).otherwise(F.col("_utc_next_day"))
     columns = [
         "client_id", "ext_dev_ref", "resolution", "date_local", "hour",
-        F.concat("date_local", wall_clock, "_offset").alias("timestamp_local"),
-        F.concat(times.iso_text(utc), F.lit("+00:00")).alias("timestamp_utc"),
+        F.concat("date_local", times.hour_text(F.col("hour")), "_local_end").alias("timestamp_local"),
+        F.concat(utc_day, times.hour_text(utc_hour % HOURS_PER_DAY), "_utc_end").alias("timestamp_utc"),
         reading(hours, "_reading").alias("consumption_kwh"),
         *keep,
     ]
     if utc_col is not None:
-        columns.append(utc.alias(utc_col))
+        columns.append(F.col("_utc")[F.col("hour")].alias(utc_col))
     return hours.select(*columns)

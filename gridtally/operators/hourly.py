@@ -18,29 +18,27 @@ def add_time_features_hourly(df: DataFrame, timestamp_col: str = "timestamp_loca
     """
     if timestamp_col not in df.columns:
         raise KeyError(f"{timestamp_col} is required")
-    return set_calendar(df, times.parse_to_utc(df, timestamp_col, timezone), timezone, calendar)
+    parsed = df.withColumn("_utc", times.parse_to_utc(df, timestamp_col, timezone))
+    known = parsed.where(F.col("_utc").isNotNull())
+    return set_calendar(known, F.col("_utc"), timezone, calendar).drop("_utc")
 
 
 def set_calendar(df: DataFrame, utc: Column, timezone: str = LOCAL_TZNAME,
                  calendar: str = "utc") -> DataFrame:
-    """The same features from a naive UTC time."""
+    """The same features from a naive UTC time that is never null."""
     if calendar not in ("utc", "local"):
         raise ValueError("calendar must be 'utc' or 'local'")
     if calendar == "local":
         utc = F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
     ts = F.col("timestamp")
-    return (
-        df.withColumn("timestamp", utc)
-        .where(ts.isNotNull())
-        .withColumns({
-            "hour": F.hour(ts),
-            "day_of_week": F.weekday(ts),
-            "is_weekend": F.weekday(ts).isin(5, 6).cast("int"),
-            "date_local": F.to_date(ts),
-            "month": F.month(ts),
-            "year": F.year(ts),
-        })
-    )
+    return df.withColumn("timestamp", utc).withColumns({
+        "hour": F.hour(ts),
+        "day_of_week": F.weekday(ts),
+        "is_weekend": F.weekday(ts).isin(5, 6).cast("int"),
+        "date_local": F.to_date(ts),
+        "month": F.month(ts),
+        "year": F.year(ts),
+    })
 
 
 def unparsed_timestamps(df: DataFrame, timestamp_col: str = "timestamp_local",

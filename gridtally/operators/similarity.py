@@ -10,8 +10,10 @@ from gridtally.settings import HOURS_PER_DAY
 def day_load_vectors(df_hourly: DataFrame) -> DataFrame:
     """24 mean readings per meter and date, 0 for an hour without one; days without
     any reading are absent."""
-    kwh, hour = F.col("kwh"), F.col("hour")
-    means = [F.coalesce(F.avg(F.when(hour == h, kwh)), F.lit(0.0)) for h in range(HOURS_PER_DAY)]
+    means = [
+        F.coalesce(F.expr(f"avg(kwh) FILTER (WHERE hour = {h})"), F.lit(0.0))
+        for h in range(HOURS_PER_DAY)
+    ]
     return (
         df_hourly.select("ext_dev_ref", "date_local", "hour", reading(df_hourly).alias("kwh"))
         .dropna(subset=["ext_dev_ref", "date_local", "kwh"])

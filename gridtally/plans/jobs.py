@@ -53,7 +53,7 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
     rows must be sorted over all meters.  Returns the stored tables and registers
     them as views; None without input.
     """
-    raw = read_all_parquets(spark, input_glob, input_schema, source_row=True)
+    raw = read_all_parquets(spark, input_glob, input_schema)
     if raw.isEmpty():
         log.error("no input rows in %s", input_glob)
         return None
@@ -62,9 +62,11 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
     if out_folder is not None:
         write_csv(raw_hours(raw, options), table_path(out_folder, "meter_hourly_raw.csv"),
                   order_by=["ext_dev_ref", "timestamp_local"])
+    # Only the hourly order needs the place of a row; the schema is known by now.
+    placed = read_all_parquets(spark, input_glob, raw.schema, source_row=True)
     written = {name: Observation(name) for name in (HOURLY_TABLE, DAILY_TABLE, MONTHLY_TABLE)}
     counted = lambda df, name: df.observe(written[name], F.count(F.lit(1)).alias("n"))
-    save_table(counted(hourly_table(raw, options), HOURLY_TABLE), HOURLY_TABLE, table_root, if_exists,
+    save_table(counted(hourly_table(placed, options), HOURLY_TABLE), HOURLY_TABLE, table_root, if_exists,
                partition_by=["year", "month"], sort_by=["ext_dev_ref", "timestamp"])
     if out_folder is not None:
         write_csv(read_table(spark, HOURLY_TABLE, table_root),

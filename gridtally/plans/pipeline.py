@@ -1,6 +1,6 @@
 """From meter-days to the three tables."""
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -102,13 +102,25 @@ def daily_table(raw: DataFrame, options: Options = Options()) -> DataFrame:
     )
 
 
-def build_tables(raw: DataFrame, options: Options = Options()) -> dict[str, DataFrame]:
-    """All tables as frames of one lineage, nothing stored."""
-    daily = daily_table(raw, options)
-    return {
-        HOURLY_TABLE: hourly_table(raw, options),
-        DAILY_TABLE: daily,
-        DAILY_ROLLING_VIEW: daily,
-        MONTHLY_TABLE: derive_monthly_from_daily(daily),
-    }
+class BuiltTables(Mapping):
+    """The tables as frames of one lineage, nothing stored; each is built when asked for."""
 
+    def __init__(self, raw: DataFrame, options: Options = Options()):
+        self._frames: dict[str, DataFrame] = {}
+        self._builders = {
+            HOURLY_TABLE: lambda: hourly_table(raw, options),
+            DAILY_TABLE: lambda: daily_table(raw, options),
+            DAILY_ROLLING_VIEW: lambda: self[DAILY_TABLE],
+            MONTHLY_TABLE: lambda: derive_monthly_from_daily(self[DAILY_TABLE]),
+        }
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames:
+            self._frames[name] = self._builders[name]()
+        return self._frames[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
