@@ -193,7 +193,12 @@ _REPORT_MEANS = {
 
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        result = REPORTS[name](BuiltTables(meter_raw(spark, sf_dir), OPTIONS))
+        raw = meter_raw(spark, sf_dir)
+        if name == "hourly_profile_avg":  # of the hourly columns it reads no lag and no rolling mean
+            tables = {HOURLY_TABLE: hours_with_time(raw)}
+        else:
+            tables = BuiltTables(raw, OPTIONS)
+        result = REPORTS[name](tables)
         return _rounded(result, *_REPORT_MEANS.get(name, []))
 
     run.__name__ = name

@@ -40,7 +40,7 @@ def hours_from(start: Column, n: int) -> Column:
 
 def hour_text(hour: Column) -> Column:
     """``T00`` to ``T23``."""
-    return F.array(*[F.lit(f"T{h:02d}") for h in range(24)])[hour]
+    return F.get(F.array(*[F.lit(f"T{h:02d}") for h in range(24)]), hour)
 
 
 def utc_from_instant(ts: Column) -> Column:

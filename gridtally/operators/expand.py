@@ -78,11 +78,11 @@ def expand_daily_array_to_hourly(df: DataFrame, date_col: str = "date",
         F.concat(F.substring(midnight.cast("string"), 14, 6), F.lit("+00:00")).alias("_utc_end"),
         F.hour(midnight).alias("_utc_first_hour"),
     )
-    # A select of its own: Spark evaluates what stands beside an explode after it.
-    hours = days.select(
-        *[c for c in days.columns if c != "_readings"],
-        F.posexplode("_readings").alias("hour", "_reading"),
-    )
+    # A select of its own, because Spark evaluates what stands beside an explode after
+    # it.  Plain explode, because an adaptive plan sees through it that an empty input
+    # has an empty result, and through posexplode not.
+    hours = days.select("*", F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))).alias("hour"))
+    hours = hours.withColumn("_reading", F.get("_readings", "hour"))
     utc_hour = F.col("_utc_first_hour") + F.col("hour")
     utc_day = F.when(utc_hour < HOURS_PER_DAY, F.col("_utc_day")).otherwise(F.col("_utc_next_day"))
     columns = [
@@ -93,5 +93,5 @@ def expand_daily_array_to_hourly(df: DataFrame, date_col: str = "date",
         *keep,
     ]
     if utc_col is not None:
-        columns.append(F.col("_utc")[F.col("hour")].alias(utc_col))
+        columns.append(F.get("_utc", "hour").alias(utc_col))
     return hours.select(*columns)

@@ -118,6 +118,8 @@ def sliced_lookback(df: DataFrame, lookback: Lookback, ts_col: str = "timestamp"
         .where(F.col("_from_end") <= depth)
     )
     by_meter = Window.partitionBy(METER, SPREAD).orderBy(*instant, SLICE, ROW)
+    # Rows before a slice are numbered up to -1, the slice's own rows are all 0.
+    numbered = lambda row, i: F.struct((i - depth - 1).alias("_seq"), row[VALUE].alias(VALUE))
     starts = F.lag(F.struct(*instant, SLICE)).over(by_meter)
     before = (
         tails.select(
@@ -126,8 +128,8 @@ def sliced_lookback(df: DataFrame, lookback: Lookback, ts_col: str = "timestamp"
             F.collect_list(F.struct(F.col(VALUE))).over(by_meter.rowsBetween(-depth, -1)).alias("_before"),
         )
         .where("_starts")
-        .select(*slice_key, F.posexplode("_before").alias("_seq", "_earlier"))
-        .select(*slice_key, (F.col("_seq") - depth - 1).alias("_seq"), F.col(f"_earlier.{VALUE}").alias(VALUE))
+        .select(*slice_key, F.explode(F.transform("_before", numbered)).alias("_earlier"))
+        .select(*slice_key, "_earlier._seq", f"_earlier.{VALUE}")
     )
     ordered = Window.partitionBy(*slice_key).orderBy("_seq", ROW)
     return (

@@ -2,6 +2,7 @@
 
 import logging
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,10 +96,22 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
         write_csv(tables[MONTHLY_TABLE], table_path(out_folder, "meter_monthly_agg.csv"),
                   order_by=["client_id", "ext_dev_ref", "year", "month"])
 
-    save_run_metrics(spark, counts.get, {name: seen.get["n"] for name, seen in written.items()}, table_root)
+    read = lambda: raw.agg(
+        F.count(F.lit(1)).alias("read"), F.count_if(rejected).alias("rejected")).first().asDict()
+    save_run_metrics(spark, _observed(counts, read),
+                     {name: _observed(seen, lambda: {"n": 0})["n"] for name, seen in written.items()}, table_root)
     return tables
 
 
+def _observed(observation: Observation, otherwise) -> dict:
+    """The observed counts.  Where a result turns out empty Spark may drop the counting
+    with the rest of the plan; ``otherwise`` gives the counts then."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return otherwise()
+
+
 def save_run_metrics(spark: SparkSession, counts: dict, written: dict, table_root: str) -> None:
     """Append the run's row counts to the table ``run_metrics``."""
     expanded = (counts["read"] - counts["rejected"]) * HOURS_PER_DAY
@@ -127,8 +140,9 @@ def run_queries(spark: SparkSession, tables: Tables, out_folder: str, reports=No
             result = report(tables).observe(rows, F.count(F.lit(1)).alias("n"))
             write_csv(result, table_path(out_folder, f"{name}.csv"),
                       single_file=name not in _GROWING_REPORTS)
-            status.append((name, "ok", rows.get["n"], None))
-            log.info("report %s: %d rows", name, rows.get["n"])
+            n = _observed(rows, lambda: {"n": 0})["n"]
+            status.append((name, "ok", n, None))
+            log.info("report %s: %d rows", name, n)
         except Exception as error:  # noqa: BLE001 - any failure belongs in the status
             log.exception("report %s failed", name)
             status.append((name, "failed", None, str(error).splitlines()[0]))

@@ -1,0 +1,128 @@
+"""Jobs, sinks and the command line."""
+
+import os
+
+import pytest
+from fixtures import golden_year, meter_days
+from pyspark.errors import AnalysisException
+
+from gridtally.__main__ import run
+from gridtally.plans.jobs import main, run_etl, run_queries
+from gridtally.plans.pipeline import BuiltTables
+from gridtally.schemas import HOURLY
+from gridtally.sources.tables import (
+    open_tables,
+    read_sql_to_df,
+    read_table,
+    save_table,
+    scratch_folder,
+    write_csv,
+)
+
+
+def month(spark):
+    return golden_year(spark).where("month(date) = 5")
+
+
+def test_no_input(spark, tmp_path):
+    glob = str(tmp_path / "none" / "*.parquet")
+    assert run_etl(spark, glob, None, str(tmp_path / "tables")) is None
+    assert main(spark, glob, str(tmp_path / "csv"), str(tmp_path / "tables"), str(tmp_path / "reports")) is None
+    assert not (tmp_path / "tables").exists()
+
+
+def test_missing_column(spark, tmp_path):
+    month(spark).drop("ext_dev_ref").write.parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="ext_dev_ref"):
+        run_etl(spark, str(tmp_path / "in/*.parquet"), None, str(tmp_path / "tables"))
+
+
+def test_only_rejects(spark, tmp_path):
+    meter_days(spark, [("c", "2022-01-01", "m", [1] * 23)]).write.parquet(str(tmp_path / "in"))
+    tables = run_etl(spark, str(tmp_path / "in/*.parquet"), str(tmp_path / "csv"), str(tmp_path / "tables"),
+                     save_rejects=True)
+    assert tables["meter_hourly"].isEmpty() and tables["meter_daily"].isEmpty()
+    assert tables["meter_hourly"].columns == HOURLY.names
+    status = run_queries(spark, tables, str(tmp_path / "reports")).collect()
+    assert {r.status for r in status} == {"ok"}
+    rejects = spark.read.parquet(str(tmp_path / "tables" / "meter_rejects")).collect()
+    assert [(r.ext_dev_ref, r.array_size, r.reason) for r in rejects] == [("m", 23, "wrong array size")]
+    counts = {r.step: r.n_rows for r in spark.read.parquet(str(tmp_path / "tables" / "run_metrics")).collect()}
+    assert (counts["meter_days_read"], counts["meter_days_rejected"], counts["hours_expanded"]) == (1, 1, 0)
+
+
+def test_failing_report_does_not_stop_the_others(spark, tmp_path):
+    def broken(tables):
+        return tables["meter_daily"].select("no_such_column")
+
+    def fails_late(tables):
+        return tables["meter_daily"].selectExpr("raise_error('boom') AS x")
+
+    def fine(tables):
+        return tables["meter_daily"].select("ext_dev_ref").distinct()
+
+    tables = BuiltTables(month(spark))
+    status = run_queries(spark, tables, str(tmp_path), {"broken": broken, "late": fails_late, "fine": fine})
+    rows = {r.report: r for r in status.collect()}
+    assert (rows["broken"].status, rows["late"].status) == ("failed", "failed")
+    assert rows["broken"].error and rows["broken"].n_rows is None
+    assert (rows["fine"].status, rows["fine"].n_rows) == ("ok", 1)
+
+
+def test_if_exists(spark, tmp_path):
+    df = spark.range(3)
+    for mode, rows in (("fail", 3), ("append", 6), ("replace", 3)):
+        path = save_table(df, "t", str(tmp_path), if_exists=mode)
+        assert spark.read.parquet(path).count() == rows
+    with pytest.raises(AnalysisException):
+        save_table(df, "t", str(tmp_path), if_exists="fail")
+    with pytest.raises(ValueError):
+        save_table(df, "t", str(tmp_path), if_exists="ignore")
+
+
+def test_hourly_layout_prunes_folders(spark, tmp_path):
+    save_table(BuiltTables(golden_year(spark))["meter_hourly"], "meter_hourly", str(tmp_path),
+               partition_by=["year", "month"], sort_by=["ext_dev_ref", "timestamp"])
+    table = read_table(spark, "meter_hourly", str(tmp_path))
+    assert table.columns == HOURLY.names
+    few = table.where("year = 2022 AND month = 5 AND ext_dev_ref = 'x'")
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    assert "EqualTo(ext_dev_ref,x)" in plan
+
+
+def test_read_sql(spark, tmp_path):
+    tables = BuiltTables(month(spark))
+    for name in ("meter_hourly", "meter_daily", "meter_monthly"):
+        save_table(tables[name], name, str(tmp_path))
+    assert set(open_tables(spark, str(tmp_path))) == set(tables)
+    got = read_sql_to_df(spark, "SELECT count(*) AS n FROM meter_daily_rolling_7d WHERE date_local >= '2022-05-01'",
+                         str(tmp_path))
+    assert got.first().n == 31
+    assert read_sql_to_df(spark, "SELECT sum(monthly_total_kwh) AS s FROM meter_monthly").first().s == 2400.0 * 31
+
+
+def test_csv_has_header_in_every_part_and_empty_nulls(spark, tmp_path):
+    df = spark.sql("SELECT * FROM VALUES (1, 2.5D, TIMESTAMP_NTZ'2022-01-01 10:00:00'), (2, NULL, NULL) AS t(a, b, c)")
+    write_csv(df, str(tmp_path / "x.csv"), order_by=["a"], single_file=True)
+    parts = [p for p in os.listdir(tmp_path / "x.csv") if p.startswith("part-")]
+    assert len(parts) == 1
+    assert (tmp_path / "x.csv" / parts[0]).read_text().splitlines() == ["a,b,c", "1,2.5,2022-01-01 10:00:00", "2,,"]
+
+
+def test_scratch_folder_follows_the_session(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    if before:
+        assert scratch_folder(spark).startswith(before.rstrip("/"))
+    else:
+        assert scratch_folder(spark) != scratch_folder(spark)
+
+
+def test_command_line(spark, tmp_path):
+    month(spark).write.parquet(str(tmp_path / "in"))
+    args = ["--out-folder", str(tmp_path / "out"), "--table-root", str(tmp_path / "tables"), "--declared-schema"]
+    assert run(["--input-glob", str(tmp_path / "nothing*"), *args]) == 1
+    assert run(["--input-glob", str(tmp_path / "in/*.parquet"), *args, "--no-table-csv"]) == 0
+    assert sorted(os.listdir(tmp_path / "out")) == ["reports"]
+    assert len(os.listdir(tmp_path / "out" / "reports")) == 11
+    assert sorted(os.listdir(tmp_path / "tables")) == ["meter_daily", "meter_hourly", "meter_monthly", "run_metrics"]
