@@ -67,7 +67,7 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
     placed = read_all_parquets(spark, input_glob, raw.schema, source_row=True)
     written = {name: Observation(name) for name in (HOURLY_TABLE, DAILY_TABLE, MONTHLY_TABLE)}
     counted = lambda df, name: df.observe(written[name], F.count(F.lit(1)).alias("n"))
-    save_table(counted(hourly_table(placed, options), HOURLY_TABLE), HOURLY_TABLE, table_root, if_exists,
+    save_table(counted(hourly_table(placed, options, meters=raw), HOURLY_TABLE), HOURLY_TABLE, table_root, if_exists,
                partition_by=["year", "month"], sort_by=["ext_dev_ref", "timestamp"])
     if out_folder is not None:
         write_csv(read_table(spark, HOURLY_TABLE, table_root),

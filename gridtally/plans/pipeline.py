@@ -65,19 +65,23 @@ def hours_with_time(raw: DataFrame, options: Options = Options(), keep: Sequence
     return set_calendar(hours, F.col("_utc"), options.timezone, options.calendar).drop("_utc")
 
 
-def hourly_table(raw: DataFrame, options: Options = Options()) -> DataFrame:
+def hourly_table(raw: DataFrame, options: Options = Options(),
+                 meters: DataFrame | None = None) -> DataFrame:
     """Hourly rows with all features.
 
     The meter-days are shuffled by meter before they are expanded: an array of 24
     numbers instead of 24 wide rows.  The window that follows needs no further
     exchange.  Oversized meters take the sliced way; without any, Spark finds
-    their list empty and drops that branch before reading for it.
+    their list empty and drops that branch before reading for it.  ``meters`` may be
+    the same meter-days read without row places, so that counting reads one column
+    and nothing else.
     """
     check_columns(raw, options.date_col, options.arr_col)
     lookback = Lookback(tuple(options.lags), options.window_hours)
     rows = with_row_id(raw)
     oversized = F.broadcast(
-        hot_groups(raw, [METER], options.max_rows_per_task // HOURS_PER_DAY).select(METER))
+        hot_groups(raw if meters is None else meters, [METER],
+                   options.max_rows_per_task // HOURS_PER_DAY).select(METER))
     ordinary = rows.join(oversized, METER, "left_anti").repartition(METER, SPREAD)
     large = rows.join(oversized, METER, "left_semi")
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtally.schemas import DAILY, HOURLY, MONTHLY
@@ -78,10 +79,13 @@ def read_sql_to_df(spark: SparkSession, sql: str, root: str | None = None) -> Da
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_file: bool = False) -> None:
     """Write a folder of CSV files with headers, replacing an earlier one.
 
+    With ``order_by`` the files are sorted one after the other.  Rows that tie are
+    told apart by a running id, so that many copies do not end up in one task.
     ``single_file`` is for reports whose size does not grow with the data.
     """
     if order_by:
-        df = df.orderBy(*order_by)
+        tie = "_tie"
+        df = df.withColumn(tie, F.monotonically_increasing_id()).orderBy(*order_by, tie).drop(tie)
     if single_file:
         df = df.coalesce(1)
     (

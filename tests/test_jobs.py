@@ -110,6 +110,15 @@ def test_csv_has_header_in_every_part_and_empty_nulls(spark, tmp_path):
     assert (tmp_path / "x.csv" / parts[0]).read_text().splitlines() == ["a,b,c", "1,2.5,2022-01-01 10:00:00", "2,,"]
 
 
+def test_sorted_csv_spreads_copies(spark, tmp_path):
+    """A thousand copies of one row and ten rows after it: still in order, over several files."""
+    df = spark.range(1000).selectExpr("'a' AS k", "1 AS v").union(spark.range(10).selectExpr("'b'", "CAST(id AS INT)"))
+    write_csv(df, str(tmp_path / "x.csv"), order_by=["k", "v"])
+    parts = sorted(p for p in os.listdir(tmp_path / "x.csv") if p.startswith("part-"))
+    rows = [line for p in parts for line in (tmp_path / "x.csv" / p).read_text().splitlines()[1:]]
+    assert rows == ["a,1"] * 1000 + [f"b,{i}" for i in range(10)]
+
+
 def test_scratch_folder_follows_the_session(spark, tmp_path):
     before = spark.conf.get("spark.checkpoint.dir", None)
     if before:

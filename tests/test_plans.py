@@ -76,6 +76,13 @@ def test_meter_counts_read_one_column(raw):
     assert "TakeOrderedAndProject" in text
 
 
+def test_meter_counts_need_no_row_places(spark, raw):
+    placed = read_all_parquets(spark, raw.inputFiles()[0], raw.schema, source_row=True)
+    counting = [line for line in plan(hourly_table(placed, meters=raw)).splitlines()
+                if "ReadSchema: struct<ext_dev_ref:string>" in line]
+    assert counting and not any("row_index" in line for line in counting)
+
+
 def test_top_k_reports(raw):
     for name in ("top_meters_by_year", "similar_meters"):
         assert "TakeOrderedAndProject" in plan(REPORTS[name](BuiltTables(raw)))
