@@ -52,6 +52,7 @@ class Options:
     labels: Sequence[str] = DEFAULT_LABELS
     holidays: DataFrame | None = field(default=None, compare=False)
     max_rows_per_task: int = MAX_ROWS_PER_TASK
+    hourly_partitions: int | None = None  # default: spark.sql.shuffle.partitions
 
 
 def raw_hours(raw: DataFrame, options: Options = Options()) -> DataFrame:
@@ -71,7 +72,9 @@ def hourly_table(raw: DataFrame, options: Options = Options(),
 
     The meter-days are shuffled by meter before they are expanded: an array of 24
     numbers instead of 24 wide rows.  The window that follows needs no further
-    exchange.  Oversized meters take the sliced way; without any, Spark finds
+    exchange.  The number of partitions is given, because an adaptive plan would join
+    partitions by the size of the arrays, which grow twentyfold in the same task.
+    Oversized meters take the sliced way; without any, Spark finds
     their list empty and drops that branch before reading for it.  ``meters`` may be
     the same meter-days read without row places, so that counting reads one column
     and nothing else.
@@ -82,7 +85,9 @@ def hourly_table(raw: DataFrame, options: Options = Options(),
     oversized = F.broadcast(
         hot_groups(raw if meters is None else meters, [METER],
                    options.max_rows_per_task // HOURS_PER_DAY).select(METER))
-    ordinary = rows.join(oversized, METER, "left_anti").repartition(METER, SPREAD)
+    partitions = options.hourly_partitions or int(
+        raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordinary = rows.join(oversized, METER, "left_anti").repartition(partitions, METER, SPREAD)
     large = rows.join(oversized, METER, "left_semi")
 
     keep = [ROW, SPREAD]
