@@ -6,9 +6,10 @@ import pytest
 from compare import duck, same
 
 import __spark_entry__ as entry
+from bindings.oracles import ORACLES
+from bindings.queries import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", QUERIES)
