@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, decontamination, packing, pii, url_filters
+from gridtally.llm import chat, decontamination, packing, pii, substring_dedup, url_filters
 from gridtally.llm.common import table
 
 
@@ -38,6 +38,13 @@ SELECT page_id, host, path, {_best_sql("prefix", "name")} AS rule, {_best_sql("p
 FROM parts
 """
 
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows that stand earlier as well."""
+    done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: Fixed value: the conversation that the chat query adds.
 CONTROL_TEXT = "</s>[INST] ok [/INST]"
 
@@ -94,5 +101,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op4_chat_formatting, op5_pii, op7_decontamination, op8_best_fit_packing)}
+    f.__name__: f for f in (op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii, op7_decontamination, op8_best_fit_packing)}
 ORACLES = {"op2_url_filters": OP2_SQL}
