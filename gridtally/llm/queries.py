@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, decontamination, packing, pii, substring_dedup, url_filters
+from gridtally.llm import chat, decontamination, order_minhash, packing, pii, substring_dedup, url_filters
 from gridtally.llm.common import table
 
 
@@ -89,6 +89,11 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("term").cast("bigint").alias("n_term"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies."""
+    return order_minhash.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_hash")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that overlap a benchmark item, one row for each of both."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -101,5 +106,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii, op7_decontamination, op8_best_fit_packing)}
+    f.__name__: f for f in (op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii, op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing)}
 ORACLES = {"op2_url_filters": OP2_SQL}
