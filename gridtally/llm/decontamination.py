@@ -10,6 +10,8 @@ overlap of that kind is missed.  Built-in functions only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,30 +93,30 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id:
     found = (
         hits.withColumns({"before": before, "agree": agree})
         .withColumn("good", F.filter(windows, lambda w: w["n"] >= AGREE))
-        .where(F.size("good") > 0)
+        # Hits without an overlap go after the aggregation: tested before, the comparison would move into the join,
+        # which then is no longer compiled with the explosion below it and holds a document's words once per place.
         .groupBy("doc_id", "text_key", "item_id")
         .agg(F.max(F.array_max("good")["n"]).alias("agreeing"),
              F.min(F.array_min(F.transform("good", lambda w: w["at"]))).alias("start"),
              (F.max(F.array_max(F.transform("good", lambda w: w["at"]))) + WINDOW).alias("end"))
+        .where("agreeing is not null")
     )
-    return found.unionByName(_short(left, right)).select("doc_id", "item_id", "agreeing", "start", "end", "text_key")
+    for one_length in _short(left, right):
+        found = found.unionByName(one_length)
+    return found.select("doc_id", "item_id", "agreeing", "start", "end", "text_key")
 
 
-def _short(left: DataFrame, right: DataFrame) -> DataFrame:
+def _short(left: DataFrame, right: DataFrame) -> Iterator[DataFrame]:
     """Items of fewer than WINDOW words, found whole.  One pass for each of the at most 12 lengths that occur."""
     short = right.where((F.size("iw") > 0) & (F.size("iw") < WINDOW)).withColumn("n", F.size("iw"))
     lengths = [r["n"] for r in short.select("n").distinct().orderBy("n").collect()]
-    out = left.sparkSession.createDataFrame(
-        [], "doc_id bigint, text_key bigint, item_id bigint, agreeing int, start int, end int")
     for n in lengths:
         own = short.where(F.col("n") == n).select("item_id", F.array_join("iw", " ").alias("words"))
-        seen = (left.select("doc_id", "text_key", "dw", F.explode(_starts(F.col("dw"), n)).alias("i"))
-                .select("doc_id", "text_key", "i", F.array_join(F.slice("dw", F.col("i") + 1, n), " ").alias("words"))
-                .join(own, "words")
-                .groupBy("doc_id", "text_key", "item_id").agg(F.min("i").alias("start"), (F.max("i") + n).alias("end"))
-                .withColumn("agreeing", F.lit(n)))
-        out = out.unionByName(seen)
-    return out
+        yield (left.select("doc_id", "text_key", "dw", F.explode(_starts(F.col("dw"), n)).alias("i"))
+               .select("doc_id", "text_key", "i", F.array_join(F.slice("dw", F.col("i") + 1, n), " ").alias("words"))
+               .join(own, "words")
+               .groupBy("doc_id", "text_key", "item_id").agg(F.min("i").alias("start"), (F.max("i") + n).alias("end"))
+               .withColumn("agreeing", F.lit(n)))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

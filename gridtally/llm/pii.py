@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import checkpoint, row_key, text_or_empty, words_of
+from gridtally.llm.common import SPACE, checkpoint, text_or_empty, words_of
 
 # The patterns.  They match what the plain forms beside them match; possessive quantifiers and the
 # look-behind only keep long runs from being tried again and again.
@@ -47,6 +47,15 @@ class Disclosure:
     reach: int = 80
 
 
+#: Terms, and terms of documents, are broadcast up to so many rows, joined by shuffle beyond.
+MAX_BROADCAST_TERMS = 100_000
+_EDGES = ".,;:!?\"'()[]{}<>*_`~|/\\%&$#@+=-0123456789"
+
+
+def _hint(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= MAX_BROADCAST_TERMS else df
+
+
 def _luhn(digits: Column) -> Column:
     n = F.length(digits)
     doubled = lambda d: F.when(d > 4, d * 2 - 9).otherwise(d * 2)
@@ -106,10 +115,22 @@ def _of_all(kinds: tuple[str, ...], f) -> Column:
     return F.flatten(F.array(*map(of_one, kinds)))
 
 
+def bare(word: Column) -> Column:
+    """A word without digits and punctuation at its ends."""
+    return F.btrim(word, F.lit(_EDGES))
+
+
 def clean_words(text: Column) -> Column:
-    """Distinct words of letters, lower-cased, without punctuation at their ends, three letters or more."""
-    bare = F.transform(words_of(F.lower(text)), lambda w: F.regexp_replace(w, r"^[^\p{L}]+|[^\p{L}]+$", ""))
-    return F.array_distinct(F.filter(bare, lambda w: w.rlike(r"^\p{L}{3,}+$")))
+    """Distinct words of letters, lower-cased, without digits and punctuation at their ends, three letters or more."""
+    return F.array_distinct(F.filter(F.transform(words_of(F.lower(text)), bare), lambda w: w.rlike(r"^\p{L}{3,}+$")))
+
+
+def _holding(docs: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, text_hash, term): the documents in which each term stands."""
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                        F.explode(F.array_distinct(F.split(F.lower(text_or_empty()), SPACE))).alias("word"))
+    return (words.withColumn("term", bare(F.col("word"))).join(_hint(terms.select("term").distinct(), rows), "term")
+            .select("doc_id", "text_hash", "term").distinct())
 
 
 def _mentions(docs: DataFrame, rule: Disclosure) -> DataFrame:
@@ -124,10 +145,10 @@ def _mentions(docs: DataFrame, rule: Disclosure) -> DataFrame:
     whole_left = F.when(low > 0, F.regexp_replace(left, r"^[^\x20\x09-\x0D]*+", "")).otherwise(left)
     whole_right = F.when(F.length(right) == reach, F.regexp_replace(right, r"[^\x20\x09-\x0D]*+$", "")).otherwise(right)
     return (
-        some.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), t.alias("t"), F.explode(found).alias("m"))
-        .select("key", F.struct("m.kind", "m.value").alias("entity"),
+        some.select("doc_id", F.xxhash64("text").alias("text_hash"), t.alias("t"), F.explode(found).alias("m"))
+        .select("doc_id", "text_hash", F.struct("m.kind", "m.value").alias("entity"),
                 clean_words(F.concat(whole_left, F.lit(" "), whole_right)).alias("near"))
-        .groupBy("key", "entity").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"))
+        .groupBy("doc_id", "text_hash", "entity").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"))
         .withColumn("context", F.xxhash64("near"))
     )
 
@@ -148,13 +169,10 @@ def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFr
         .join(per_entity, "entity")
     )
     pairs = checkpoint(pairs)
-    if pairs.isEmpty():  # no word stands beside one entity often enough: the counts over all words would be of nothing
+    rows = pairs.count()
+    if not rows:  # no word stands beside one entity often enough: the counts over all words would be of nothing
         return docs.sparkSession.createDataFrame([], "term string, share double")
-    candidates = pairs.select("term").distinct()
-    frequency = (
-        docs.select(F.explode(clean_words(text_or_empty())).alias("term"))
-        .groupBy("term").agg(F.count("*").alias("n_t")).join(candidates, "term")
-    )
+    frequency = _holding(docs, pairs, rows).groupBy("term").agg(F.count("*").alias("n_t"))
     size = F.lit(float(docs.count()))
     carried = F.ln(size * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
     whole = F.ln(size / F.col("n_e"))
@@ -181,13 +199,12 @@ def find_private(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     terms = checkpoint(disclosing_terms(based, rule))
     if terms.isEmpty():
         return based.withColumn("term", F.array().cast(SPANS))
-    key = row_key(F.col("doc_id"), F.col("text"))
-    held = (
-        docs.select(key.alias("_key"), F.explode(clean_words(text_or_empty())).alias("term"))
-        .join(terms, "term")
-        .groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("term", "share"))).alias("_held"))
-    )
-    joined = based.withColumn("_key", key).join(held, "_key", "left")
+    held = checkpoint(
+        _holding(docs, terms, terms.count()).join(terms, "term")
+        .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("_held"))
+        .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    joined = based.join(_hint(held, held.agg(F.sum(F.size("_held"))).first()[0] or 0), same, "left")
     quoted = F.transform("_held", lambda h: F.concat(F.lit("\\Q"), h["term"], F.lit("\\E")))
     pattern = F.concat(F.lit("(?<!\\p{L})(?iu:"), F.array_join(quoted, "|"), F.lit(")(?!\\p{L})"))
     share = lambda v: F.get(F.filter("_held", lambda h: h["term"] == F.lower(v)), F.lit(0))["share"]
@@ -195,7 +212,7 @@ def find_private(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
         s["start"].alias("start"), s["end"].alias("end"),
         F.when(share(s["value"]) >= rule.remove, "remove").otherwise("generalise").alias("value")))
     return joined.withColumn("term", F.when(F.col("_held").isNotNull(), spans).otherwise(F.array()).cast(SPANS)).drop(
-        "_key", "_held")
+        "_id", "_hash", "_held")
 
 
 def span_text(*kinds: str) -> Column:
