@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, decontamination, order_minhash, packing, pii, substring_dedup, url_filters
+from gridtally.llm import chat, decontamination, multi_index, order_minhash, packing, pii, substring_dedup, url_filters
 from gridtally.llm.common import table
 
 
@@ -105,6 +105,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings with their near duplicates at a cosine of 0.95."""
+    return multi_index.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii, op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing)}
+    f.__name__: f for f in (op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii, op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup)}
 ORACLES = {"op2_url_filters": OP2_SQL}
