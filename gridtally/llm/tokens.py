@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import base64
 import functools
 import os
-import re
+import sys
+from array import array
 
 #: Pieces kept per Python worker; frequent ones come early, later ones are encoded each time.
-CACHED_PIECES = 400_000
-#: A space next to other white space, or at an end: there a text must not be cut.
-_AWKWARD = re.compile(r"\s |^ | \s| $")
+CACHED_PIECES = 800_000
 
 
 class Encoder:
@@ -20,38 +20,81 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are written as the machine has them, which must be little-endian and 32 bits")
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.ranks = self._ranks(path)
+        #: Piece without the space before it -> its ids with that space.
         self.pieces: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+    def _ranks(self, path: str):
+        """The same vocabulary for ``tiktoken``, if it lies beside the file: several times as fast on new pieces."""
+        beside = path.removesuffix(".json") + ".tiktoken"
+        if not os.path.exists(beside):
+            return None
+        import public_tokenizers
+        import tiktoken
+
+        with open(beside, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """ids of each piece with a space before it; plain ones go as lines of one text.
+
+        A line feed before a space is a piece and an id of its own, so that the ids fall apart at it again.
+        """
+        out = [b""] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if "<|" not in p and len(p.split()) == 1]
+        if self.ranks and plain:
+            numbers = self.ranks.encode_ordinary("".join([" " + pieces[i] + "\n" for i in plain]) + " ")
+            ids, start = array("I", numbers).tobytes(), 0
+            ends = [i for i, x in enumerate(numbers) if x == self.line_feed]
+            for i, end in zip(plain, ends, strict=True):
+                out[i] = ids[4 * start:4 * end]
+                start = end + 1
+        else:
+            plain = []
+        rest = sorted(set(range(len(pieces))).difference(plain))
+        for i, ids in zip(rest, self._encode([" " + pieces[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
 
     def many(self, texts: list[str]) -> list[bytes]:
-        """ids of each text; the pieces that are not cached are encoded in one call."""
-        cut = [None if _AWKWARD.search(t) else t.split(" ") for t in texts]
+        """ids of each text; the pieces that are not cached are encoded together."""
         known = self.pieces
+        cut: list = [t.split(" ") for t in texts]
         new: dict[str, bytes] = {}
+        for k, parts in enumerate(cut):
+            unknown = [p for p, ids in zip(parts[1:], map(known.get, parts[1:]), strict=True) if ids is None]
+            if unknown or parts[0] != parts[0].strip():
+                # An empty piece, or white space at an end of one: there a text must not be cut.
+                if not all(p and p == p.strip() for p in [parts[0], *unknown]):
+                    cut[k] = None
+                else:
+                    new.update(dict.fromkeys(unknown))
+            elif not parts[0] and len(parts) > 1:
+                cut[k] = None
+        names = list(new)
+        new = dict(zip(names, self._encode_pieces(names), strict=True))
+        for p in names[:CACHED_PIECES - len(known)]:
+            known[p] = new[p]
+        # What has no space before it: first pieces, and texts that must not be cut.
+        bare = iter(self._encode([t if parts is None else parts[0] for t, parts in zip(texts, cut, strict=True)]))
+        out = []
         for parts in cut:
+            ids = next(bare)
             if parts:
-                parts[1:] = [" " + p for p in parts[1:]]
-                for p in parts:
-                    if p not in known:
-                        new[p] = b""
-        names = list(new)
-        new = dict(zip(names, self._encode(names), strict=True))
-        for p, ids in new.items():
-            if len(known) >= CACHED_PIECES:
-                break
-            known[p] = ids
-        whole = iter(self._encode([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
-        return [next(whole) if parts is None else b"".join([known[p] if p in known else new[p] for p in parts])
-                for parts in cut]
+                ids += b"".join([known.get(p) or new[p] for p in parts[1:]])
+            out.append(ids)
+        return out
 
 
 @functools.lru_cache(maxsize=2)
