@@ -7,8 +7,16 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, decontamination, multi_index, order_minhash, packing, pii, substring_dedup, url_filters
-from gridtally.llm.common import table
+from gridtally.llm import chat, decontamination, multi_index, order_minhash, packing, pii, quality, substring_dedup, url_filters
+from gridtally.llm.common import id_bucket, table
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learnt from the labelled ones outside the held-out third."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(id_bucket(F.col("doc_id"), 3) == 1, F.lit(False))
+    scored = quality.classify(docs.select("doc_id", "text", "n_chars"), labels, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,5 +119,7 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii, op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup)}
+    f.__name__: f for f in (
+        op1_quality_classifier, op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii,
+        op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup)}
 ORACLES = {"op2_url_filters": OP2_SQL}
