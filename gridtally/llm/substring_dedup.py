@@ -191,7 +191,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Both joins below read the same two columns by the same key, so that the texts are shuffled once.
     rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), text_or_empty().alias("text"))
 
