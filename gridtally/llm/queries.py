@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, decontamination, multi_index, order_minhash, packing, pii, quality, substring_dedup, url_filters
+from gridtally.llm import chat, context_mixing, decontamination, multi_index, order_minhash, packing, pii, quality, substring_dedup, url_filters
 from gridtally.llm.common import id_bucket, table
 
 
@@ -118,8 +118,16 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability under the model of nine tenths of them, beside that of single words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_bucket(F.col("doc_id"), 10) == 0, F.lit(False))
+    model, words = context_mixing.train(docs.where(~held_out))
+    return context_mixing.score(docs, model, words).withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii,
-        op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup)}
+        op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup, op10_lm_scoring)}
 ORACLES = {"op2_url_filters": OP2_SQL}
