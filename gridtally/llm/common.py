@@ -28,17 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read back from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, or one below the warehouse, which is shared as well."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Where
-    none is named, a folder below the warehouse, which is shared as well.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read back from there."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
@@ -56,12 +56,6 @@ def id_bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
-def row_key(*columns: Column) -> Column:
-    """128 bits that tell rows apart; rows equal in these columns share it."""
-    return F.unhex(F.substring(F.sha2(F.concat_ws("\x1f", *[
-        F.coalesce(c.cast("string"), F.lit("\x00null")) for c in columns]), 256), 1, 32))
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b); a component is named by its least node.
 
