@@ -91,6 +91,8 @@ def text_keys(words: Words) -> list[bytes]:
     return [row.tobytes() for row in out]
 
 
+#: Stands for a null doc_id where rows are matched.
+NO_ID = 2**63 - 1
 #: Values of a profile, the sketch by which pairs are weighed before their texts are fetched.
 PROFILE = 256
 
@@ -280,6 +282,8 @@ def _apart(members: DataFrame, labels: DataFrame, rule: Near) -> DataFrame:
 
 def keep_one(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     """One document of each class, with the columns of ``docs``: that of the least id; repeated rows once."""
-    kept = near_classes(docs, rule).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty()) == F.col("_hash"))
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    kept = near_classes(docs, rule).where("kept").select(key.alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    keyed = docs.withColumns({"_id": key, "_hash": F.xxhash64(text_or_empty())})
+    # One shuffle of the texts: the repeated rows fall where the join has put them.
+    return keyed.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
