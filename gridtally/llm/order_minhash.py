@@ -93,17 +93,23 @@ def text_keys(words: Words) -> list[bytes]:
 
 #: Stands for a null doc_id where rows are matched.
 NO_ID = 2**63 - 1
-#: Values of a profile, the sketch by which pairs are weighed before their texts are fetched.
-PROFILE = 256
+#: Bins of a profile, the sketch by which pairs are weighed before their texts are fetched.
+PROFILE_BITS = 10
+PROFILE = 1 << PROFILE_BITS
 
 
 def profile(h: np.ndarray) -> bytes:
-    """One byte of each of PROFILE minimum hashes; the share of equal bytes estimates the Jaccard similarity."""
-    least = np.full(PROFILE, np.uint64(2**64 - 1))
-    factors = numbers(PROFILE, 41)
-    for i in range(0, len(h), 1 << 11):
-        least = np.minimum(least, (h[i:i + (1 << 11), None] * factors[None, :]).min(axis=0))
-    return (mix(least) >> np.uint64(56)).astype(np.uint8).tobytes()
+    """A byte of the least hash in each of PROFILE ranges of hashes; 0 where a range is empty.
+
+    Of the ranges that are not empty in both, the share of equal bytes estimates the Jaccard similarity.  Few k-mers
+    hardly ever share a range, so that short texts are compared almost exactly.
+    """
+    out = np.zeros(PROFILE, dtype=np.uint8)
+    ordered = np.sort(h)
+    place = ordered >> np.uint64(64 - PROFILE_BITS)
+    first, _ = runs(place)
+    out[place[first].astype(np.int64)] = 1 + (mix(ordered[first]) % np.uint64(255)).astype(np.uint8)
+    return out.tobytes()
 
 
 def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
@@ -140,12 +146,12 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
 class Near:
     """``similarity`` links two texts; ``margin`` is how far below it a profile may lie and the pair is still verified.
 
-    The standard error of a profile is 0.025 at 0.8, so that a margin of 0.1 is four of them.  Buckets of more than ``block``
-    texts are compared block by block.
+    The standard error of a profile is 0.0125 at 0.8 and less for short texts, so that a margin of 0.05 is four of them.
+    Buckets of more than ``block`` texts are compared block by block.
     """
 
     similarity: float = 0.8
-    margin: float = 0.1
+    margin: float = 0.05
     block: int = 1024
 
 
@@ -184,19 +190,35 @@ def _verify(least: float):
 
 
 def _likely(rule: Near):
-    """Pairs of one block of a bucket: different components, profiles near enough."""
+    """Pairs of some blocks of buckets: different components, profiles near enough."""
+    least = rule.similarity - rule.margin
+
+    def of_block(nodes, parts, profiles, mine, theirs):
+        here, there = np.flatnonzero(mine), np.flatnonzero(theirs)
+        known = profiles[there] != 0
+        held = known.sum(axis=1)
+        for i in here:
+            other = np.flatnonzero(parts[there] != parts[i])
+            if len(other):
+                own = profiles[i]
+                equal = np.count_nonzero((profiles[there[other]] == own) & known[other], axis=1)
+                both = np.count_nonzero(known[other] & (own != 0), axis=1)
+                near = other[equal >= least * (held[other] + np.count_nonzero(own) - both)]
+                yield from ((nodes[i], nodes[j]) for j in there[near] if nodes[i] < nodes[j])
+
     def run(frame):
-        frame = frame.drop_duplicates(["node", "own"])
-        rows, columns = frame[frame["own"] == frame["row_block"]], frame[frame["own"] == frame["column_block"]]
-        out = []
-        if len(rows) and len(columns):
-            names, parts = columns["node"].tolist(), columns["component"].to_numpy()
-            there = np.frombuffer(b"".join(columns["profile"]), dtype=np.uint8).reshape(-1, PROFILE)
-            want = round((rule.similarity - rule.margin) * PROFILE)
-            for node, part, own in zip(rows["node"], rows["component"], rows["profile"], strict=True):
-                equal = (there == np.frombuffer(own, dtype=np.uint8)).sum(axis=1)
-                out += [(node, names[j]) for j in np.flatnonzero(equal >= want) if node < names[j] and parts[j] != part]
-        return pd.DataFrame(out, columns=["a", "b"])
+        frame = frame.sort_values("block", kind="stable")
+        nodes, parts = frame["node"].to_numpy(object), frame["component"].to_numpy(object)
+        profiles = np.frombuffer(b"".join(frame["profile"]), dtype=np.uint8).reshape(-1, PROFILE)
+        own, row, column = (frame[c].to_numpy() for c in ("own", "row_block", "column_block"))
+        out = set()
+        for f, n in zip(*runs(frame["block"].to_numpy()), strict=True):
+            s = slice(f, f + n)
+            mine, theirs = own[s] == row[s], own[s] == column[s]
+            out.update(of_block(nodes[s], parts[s], profiles[s], mine, theirs))
+            if row[f] != column[f]:  # a pair is named from its lesser node, whichever block that is in
+                out.update(of_block(nodes[s], parts[s], profiles[s], theirs, mine))
+        return pd.DataFrame(sorted(out), columns=["a", "b"])
     return run
 
 
@@ -247,9 +269,12 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     tested = verified(star("low").union(star("high")).distinct())
     links = tested.where(F.col("similarity") >= rule.similarity).select("a", "b")
     labels = components(links)
-    apart = _apart(members, labels, rule).join(packed.select("node", "profile"), "node")
+    # Blocks are dealt out by their hash, many small ones in a call.
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    apart = _apart(members, labels, rule).join(packed.select("node", "profile"), "node").withColumn(
+        "block", F.xxhash64("key", "row_block", "column_block")).withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
     likely = (
-        apart.groupBy("key", "row_block", "column_block").applyInPandas(_likely(rule), "a binary, b binary").distinct()
+        apart.groupBy("part").applyInPandas(_likely(rule), "a binary, b binary").distinct()
         .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
     more = verified(likely).where(F.col("similarity") >= rule.similarity).select("a", "b")
     labels = components(links.union(more))
