@@ -26,7 +26,7 @@ _STEPS = {
         LEFT JOIN per_hour p ON p.meter = m.meter AND p.d = m.d AND p.h = g.h
         WHERE NOT m.short""",
     "hours": """
-        SELECT client_id, ext_dev_ref, 'PT1H' AS resolution, kwh AS consumption_kwh, d, idx, utc, wall,
+        SELECT client_id, ext_dev_ref, 'PT1H' AS resolution, kwh AS consumption_kwh, d, idx, utc, wall, off,
                strftime(wall, '%Y-%m-%dT%H:%M:%S') || printf('+%02d:%02d', off // 60, off % 60) AS timestamp_local,
                strftime(utc, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp_utc,
                CAST(utc AS DATE) AS date_local, CAST(hour(utc) AS INTEGER) AS hour
@@ -145,15 +145,20 @@ _DAILY_COLUMNS = """client_id, ext_dev_ref, date_local, total_kwh, mean_kwh, max
     consumption_category"""
 
 # A naive local time exists once if exactly one UTC time near it maps to it.
-_MIXED = """
+_NAIVE = "(idx % 4 = 3 OR idx IN (2, 18))"
+_MIXED = f"""
     SELECT ext_dev_ref, text, timestamp FROM (
         SELECT ext_dev_ref,
                CASE WHEN idx % 4 = 0 THEN timestamp_local
                     WHEN idx % 4 = 1 THEN strftime(utc, '%Y-%m-%dT%H:%M:%S') || 'Z'
                     WHEN idx % 4 = 3 OR idx = 2 THEN strftime(wall, '%Y-%m-%dT%H:%M:%S')
+                    WHEN idx = 6 THEN strftime(utc, '%Y-%m-%dT%H:%M') || 'z'
+                    WHEN idx = 10 THEN strftime(utc, '%Y-%m-%d %H:%M:%S') || ' UTC'
+                    WHEN idx = 14 THEN strftime(wall, '%Y-%m-%dT%H:%M:%S') || printf('+%02d', off // 60)
+                    WHEN idx = 18 THEN strftime(wall, '%Y%m%dT%H%M%S')
                     ELSE 'day ' || CAST(d AS VARCHAR) END AS text,
-               CASE WHEN idx % 4 IN (0, 1) THEN utc
-                    WHEN (idx % 4 = 3 OR idx = 2)
+               CASE WHEN idx % 4 IN (0, 1) OR idx IN (6, 10, 14) THEN utc
+                    WHEN {_NAIVE}
                          AND (CAST(timezone('Europe/Vilnius', timezone('UTC', wall - to_hours(2))) = wall AS INTEGER)
                             + CAST(timezone('Europe/Vilnius', timezone('UTC', wall - to_hours(3))) = wall AS INTEGER)) = 1
                     THEN CASE WHEN timezone('Europe/Vilnius', timezone('UTC', wall - to_hours(2))) = wall
@@ -212,8 +217,8 @@ _REPORTS = {
 }
 
 _RUN_STATUS = " UNION ALL ".join(
-    f"SELECT '{name}' AS report, 'ok' AS status, (SELECT count(*) FROM ({sql})) AS n_rows"
-    for name, (sql, _) in _REPORTS.items())
+    f"SELECT '{name}' AS report, 'ok' AS status, (SELECT count(*) FROM ({sql})) AS n_rows, NULL AS error"
+    for name, (sql, _) in _REPORTS.items()) + " UNION ALL SELECT 'broken_report', 'failed', NULL, 'ValueError'"
 
 ORACLES: dict[str, str] = {
     "expand_hourly": _with(
@@ -289,8 +294,26 @@ ORACLES: dict[str, str] = {
         """SELECT 'meter_days_read' AS step, (SELECT count(*) FROM meter_days) AS n_rows
            UNION ALL SELECT 'meter_days_rejected', (SELECT count(*) FROM meter_days WHERE short)
            UNION ALL SELECT 'hours_expanded', (SELECT count(*) FROM hours)
-           UNION ALL SELECT 'hours_unparsed', 0
            UNION ALL SELECT 'meter_hourly_written', (SELECT count(*) FROM hours)
            UNION ALL SELECT 'meter_daily_written', (SELECT count(*) FROM daily)
            UNION ALL SELECT 'meter_monthly_written', (SELECT count(*) FROM monthly)""", "monthly", "hours"),
+    "raw_csv_order": _with(
+        """SELECT ext_dev_ref, timestamp_local, row_number() OVER (ORDER BY ext_dev_ref, timestamp_local) AS place
+           FROM hours""", "hours"),
+    "top_meters_first_rows": _with(
+        """SELECT *, row_number() OVER (ORDER BY year DESC, yearly_kwh DESC, ext_dev_ref) AS place
+           FROM (SELECT ext_dev_ref, CAST(year(date_local) AS INTEGER) AS year, sum(total_kwh) AS yearly_kwh
+                 FROM daily GROUP BY 1, 2) QUALIFY place <= 5""", "daily"),
+    "similar_meters_first_rows": _with(
+        """SELECT a.ext_dev_ref, row_number() OVER (ORDER BY abs(a.v - b.t), a.ext_dev_ref) AS place
+           FROM (SELECT ext_dev_ref, avg(total_kwh) AS v FROM daily GROUP BY ext_dev_ref) a,
+                (SELECT avg(total_kwh) AS t FROM daily WHERE ext_dev_ref = (SELECT min(ext_dev_ref) FROM daily)) b
+           WHERE a.v >= b.t * 0.9 AND a.v <= b.t * 1.1 QUALIFY place <= 3""", "daily"),
+    "mixed_file_types": _with("SELECT ext_dev_ref, timestamp_utc, consumption_kwh FROM hours", "hours"),
+    "repeated_run": _with(
+        """SELECT m.ext_dev_ref, m.months, m.days, m.total_kwh, d.day_rows, d.running_total
+           FROM (SELECT ext_dev_ref, count(*) AS months, CAST(sum(days_with_data) AS BIGINT) AS days,
+                        sum(monthly_total_kwh) AS total_kwh FROM monthly GROUP BY 1) m
+           JOIN (SELECT ext_dev_ref, count(*) AS day_rows, max(cumulative_total_kwh) AS running_total
+                 FROM daily GROUP BY 1) d USING (ext_dev_ref)""", "monthly"),
 }

@@ -1,8 +1,9 @@
 """Queries over the test tables, one per group of operators."""
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bindings.testdata import BINS, meter_raw
@@ -19,14 +20,14 @@ from gridtally.operators.monthly import derive_monthly_from_daily
 from gridtally.operators.similarity import add_daily_load_shape_similarity
 from gridtally.plans.jobs import run_etl, run_queries
 from gridtally.plans.pipeline import BuiltTables, Options, daily_table, hourly_table, hours_with_time
-from gridtally.plans.reports import REPORTS, similar_meters
+from gridtally.plans.reports import REPORTS, similar_meters, top_meters_by_year
 from gridtally.schemas import METER_DAYS
 from gridtally.settings import HOURLY_TABLE
 from gridtally.sources.meter_days import drop_repeated_meter_days, read_all_parquets
 from gridtally.sources.tables import (
     read_sql_to_df,
+    read_table,
     save_table,
-    scratch_folder,
     table_path,
     write_csv,
 )
@@ -37,6 +38,20 @@ HOUR_KEY = ["ext_dev_ref", "timestamp_local"]
 SMALL_LIMIT = 200  # slices nearly every meter, to show that slicing changes nothing
 
 
+def working_folder(spark: SparkSession) -> str:
+    """A new folder that all executors see: below ``spark.checkpoint.dir``, or below the warehouse, which is shared too."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/gridtally-{uuid.uuid4().hex}"
+
+
+def _kept(spark: SparkSession, result: DataFrame, root: str) -> DataFrame:
+    """The result without the files below ``root``, which go: it has a row per meter and month at most."""
+    rows, schema = result.collect(), result.schema
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return spark.createDataFrame(rows, schema)
+
+
 def _six(*names: str):
     return [F.round(n, 6).alias(n) for n in names]
 
@@ -56,11 +71,16 @@ def local_timestamp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Times of the hours in four notations: with offset, as UTC, naive, and broken."""
+    """Times of the hours in many notations: with offset, as UTC, naive, compact, and broken."""
+    hour, local, utc = F.col("hour"), F.col("timestamp_local"), F.col("timestamp_utc")
     text = (
-        F.when(F.col("hour") % 4 == 0, F.col("timestamp_local"))
-        .when(F.col("hour") % 4 == 1, F.regexp_replace("timestamp_utc", r"\+00:00$", "Z"))
-        .when((F.col("hour") % 4 == 3) | (F.col("hour") == 2), F.substring("timestamp_local", 1, 19))
+        F.when(hour % 4 == 0, local)
+        .when(hour % 4 == 1, F.regexp_replace(utc, r"\+00:00$", "Z"))
+        .when((hour % 4 == 3) | (hour == 2), F.substring(local, 1, 19))
+        .when(hour == 6, F.concat(F.substring(utc, 1, 16), F.lit("z")))
+        .when(hour == 10, F.concat(F.translate(F.substring(utc, 1, 19), "T", " "), F.lit(" UTC")))
+        .when(hour == 14, F.substring(local, 1, 22))
+        .when(hour == 18, F.translate(F.substring(local, 1, 19), "-:", ""))
         .otherwise(F.concat(F.lit("day "), F.col("date_local")))
     )
     return expand_daily_array_to_hourly(meter_raw(spark, sf_dir)).select(
@@ -194,10 +214,7 @@ _REPORT_MEANS = {
 def _report(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = meter_raw(spark, sf_dir)
-        if name == "hourly_profile_avg":  # of the hourly columns it reads no lag and no rolling mean
-            tables = {HOURLY_TABLE: hours_with_time(raw)}
-        else:
-            tables = BuiltTables(raw, OPTIONS)
+        tables = BuiltTables(raw, OPTIONS)
         result = REPORTS[name](tables)
         return _rounded(result, *_REPORT_MEANS.get(name, []))
 
@@ -212,7 +229,7 @@ def similar_meters_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
     """The whole ETL from parquet files to stored tables, in a new folder."""
-    root = scratch_folder(spark)
+    root = working_folder(spark)
     meter_raw(spark, sf_dir).write.parquet(table_path(root, "input"))
     tables = run_etl(spark, table_path(root, "input/*.parquet"), table_path(root, "csv"),
                      table_path(root, "tables"), OPTIONS, save_rejects=True)
@@ -225,18 +242,19 @@ def daily_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_store_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark)
+    root = working_folder(spark)
     hours = hours_with_time(meter_raw(spark, sf_dir))
     save_table(hours, HOURLY_TABLE, root, partition_by=["year", "month"],
                sort_by=["ext_dev_ref", "timestamp"])
     save_table(hours, HOURLY_TABLE, root, if_exists="append", partition_by=["year", "month"],
                sort_by=["ext_dev_ref", "timestamp"])
-    return spark.read.parquet(table_path(root, HOURLY_TABLE)).groupBy("year", "month").agg(
+    stored = spark.read.parquet(table_path(root, HOURLY_TABLE)).groupBy("year", "month").agg(
         F.count("*").alias("n_rows"), F.sum("consumption_kwh").alias("total_kwh"))
+    return _kept(spark, stored, root)
 
 
 def hourly_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = table_path(scratch_folder(spark), "hours.csv")
+    path = table_path(working_folder(spark), "hours.csv")
     hours = expand_daily_array_to_hourly(meter_raw(spark, sf_dir))
     write_csv(hours, path, order_by=HOUR_KEY)
     return spark.read.option("header", True).schema(hours.schema).csv(path).select(
@@ -245,7 +263,7 @@ def hourly_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_scan_by_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sets of files, one without the optional column, read through one glob."""
-    root = scratch_folder(spark)
+    root = working_folder(spark)
     raw = meter_raw(spark, sf_dir)
     early = F.month("date") < 8
     raw.where(early).write.parquet(table_path(root, "early"))
@@ -255,12 +273,12 @@ def parquet_scan_by_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_over_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_folder(spark)
+    root = working_folder(spark)
     tables = BuiltTables(meter_raw(spark, sf_dir), OPTIONS)
-    for name, df in tables.items():
-        if name != "meter_daily_rolling_7d":
-            save_table(df, name, root)
-    return read_sql_to_df(spark, """
+    save_table(tables["meter_hourly"], "meter_hourly", root)
+    save_table(tables["meter_daily"], "meter_daily", root)
+    save_table(derive_monthly_from_daily(read_table(spark, "meter_daily", root)), "meter_monthly", root)
+    result = read_sql_to_df(spark, """
         SELECT m.ext_dev_ref, m.year, m.month, m.monthly_total_kwh, h.hours, r.days
         FROM meter_monthly m
         JOIN (SELECT ext_dev_ref, year, month, count(consumption_kwh) AS hours
@@ -270,16 +288,82 @@ def sql_over_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
               FROM meter_daily_rolling_7d GROUP BY ext_dev_ref, year(date_local), month) r
           ON r.ext_dev_ref = m.ext_dev_ref AND r.year = m.year AND r.month = m.month
     """, root)
+    return _kept(spark, result, root)
 
 
 def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, tables = _stored(spark, sf_dir)
-    return run_queries(spark, tables, table_path(root, "reports")).select("report", "status", "n_rows")
+    reports = {"broken_report": _broken_report} | REPORTS
+    status = run_queries(spark, tables, table_path(root, "reports"), reports)
+    return _kept(spark, status.select("report", "status", "n_rows", "error"), root)
+
+
+def _broken_report(tables):
+    raise ValueError
 
 
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, _ = _stored(spark, sf_dir)
-    return spark.read.parquet(table_path(root, "tables/run_metrics")).select("step", "n_rows")
+    return _kept(spark, spark.read.parquet(table_path(root, "tables/run_metrics")).select("step", "n_rows"), root)
+
+
+def raw_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sorted CSV read back file by file: every row with its place."""
+    root = working_folder(spark)
+    path = table_path(root, "hours.csv")
+    hours = expand_daily_array_to_hourly(meter_raw(spark, sf_dir))
+    write_csv(hours, path, order_by=HOUR_KEY)
+    lines = spark.read.option("header", True).schema(hours.schema).csv(path).select(
+        *HOUR_KEY, F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
+    place = F.row_number().over(Window.orderBy("file", "line"))  # the one total order that is to be shown
+    return lines.select(*HOUR_KEY, place.alias("place"))
+
+
+def _in_order(df: DataFrame) -> DataFrame:
+    """The rows of a report with their place, which its order gives."""
+    return df.coalesce(1).withColumn("place", F.monotonically_increasing_id() + 1)
+
+
+def top_meters_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest meters with a limit that cuts, in order."""
+    return _in_order(top_meters_by_year(BuiltTables(meter_raw(spark, sf_dir), OPTIONS), rows=5))
+
+
+def similar_meters_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest meters with a limit that cuts, in order."""
+    return _in_order(similar_meters(BuiltTables(meter_raw(spark, sf_dir), OPTIONS), rows=3)).select("ext_dev_ref", "place")
+
+
+def mixed_file_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three sets of files: dates as DATE, as text and as timestamp, readings as integers and as doubles."""
+    root = working_folder(spark)
+    raw = meter_raw(spark, sf_dir)
+    third = F.month("date") % 3
+    midnight = F.to_timestamp(F.concat(F.col("date").cast("string"), F.lit("T00:00:00Z")))
+    raw.where(third == 0).write.parquet(table_path(root, "a"))
+    raw.where(third == 1).withColumns({
+        "date": F.date_format("date", "MM/dd/yyyy"),
+        "energy_consumption": F.col("energy_consumption").cast("array<double>")}).write.parquet(table_path(root, "b"))
+    raw.where(third == 2).withColumn("date", midnight).write.parquet(table_path(root, "c"))
+    hours = expand_daily_array_to_hourly(read_all_parquets(spark, f"{root}/*/*.parquet"))
+    return hours.select("ext_dev_ref", "timestamp_utc", "consumption_kwh")
+
+
+def repeated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over growing input replace the tables; days and months stand once."""
+    root = working_folder(spark)
+    raw = meter_raw(spark, sf_dir)
+    half = F.month("date") < 7
+    glob, tables = table_path(root, "input/*/*.parquet"), table_path(root, "tables")
+    raw.where(half).write.parquet(table_path(root, "input/a"))
+    run_etl(spark, glob, None, tables, OPTIONS)
+    raw.where(~half).write.parquet(table_path(root, "input/b"))
+    stored = run_etl(spark, glob, None, tables, OPTIONS)
+    months = stored["meter_monthly"].groupBy("ext_dev_ref").agg(
+        F.count("*").alias("months"), F.sum("days_with_data").alias("days"), F.sum("monthly_total_kwh").alias("total_kwh"))
+    last = stored["meter_daily"].groupBy("ext_dev_ref").agg(
+        F.count("*").alias("day_rows"), F.max("cumulative_total_kwh").alias("running_total"))
+    return _kept(spark, months.join(last, "ext_dev_ref"), root)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -316,5 +400,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sql_over_tables,
         run_status,
         run_metrics,
+        raw_csv_order,
+        top_meters_first_rows,
+        similar_meters_first_rows,
+        mixed_file_types,
+        repeated_run,
     )
 }

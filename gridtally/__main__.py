@@ -14,14 +14,22 @@ from gridtally.sources.tables import table_path
 
 def _arguments(argv=None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="gridtally", description=__doc__)
-    parser.add_argument("--input-glob", required=True, help="parquet files of meter-days")
-    parser.add_argument("--out-folder", required=True, help="folder for CSV files and reports")
-    parser.add_argument("--table-root", required=True, help="folder of the stored tables")
+    parser.add_argument("--input-glob", default="data/*.parquet", help="parquet files of meter-days (default: %(default)s)")
+    parser.add_argument("--out-folder", default="outputs", help="folder for CSV files and reports (default: %(default)s)")
+    parser.add_argument("--table-root", default="tables", help="folder of the stored tables (default: %(default)s)")
     parser.add_argument("--timezone", default=LOCAL_TZNAME, help="zone of the meters")
     parser.add_argument("--calendar", choices=("utc", "local"), default="utc",
                         help="wall time that hours and dates are taken from")
     parser.add_argument("--declared-schema", action="store_true",
                         help="read with the declared schema instead of merging all footers")
+    parser.add_argument("--lags", type=int, nargs="*", default=list(Options.lags), metavar="ROWS", help="lags of the hourly table")
+    parser.add_argument("--window-hours", type=int, default=Options.window_hours, help="rows of the hourly rolling window")
+    parser.add_argument("--rolling-days", type=int, nargs="*", default=list(Options.rolling_days), metavar="DAYS",
+                        help="rows of the daily rolling means")
+    parser.add_argument("--bins", type=float, nargs="*", default=list(Options.bins), metavar="KWH", help="edges of the bands")
+    parser.add_argument("--labels", nargs="*", default=list(Options.labels), metavar="NAME", help="names of the bands")
+    parser.add_argument("--hourly-partitions", type=int, help="partitions of the hourly table (default: by the input)")
+    parser.add_argument("--if-exists", choices=("replace", "fail"), default="replace", help="what to do with stored tables")
     parser.add_argument("--no-table-csv", action="store_true", help="write no CSV of the tables")
     parser.add_argument("--save-rejects", action="store_true", help="store the rejected meter-days")
     parser.add_argument("--no-reports", action="store_true", help="build the tables only")
@@ -34,7 +42,10 @@ def run(argv=None) -> int:
     spark = SparkSession.builder.appName("gridtally").getOrCreate()
     tables = run_etl(
         spark, args.input_glob, None if args.no_table_csv else args.out_folder, args.table_root,
-        Options(timezone=args.timezone, calendar=args.calendar),
+        Options(timezone=args.timezone, calendar=args.calendar, lags=tuple(args.lags), window_hours=args.window_hours,
+                rolling_days=tuple(args.rolling_days), bins=tuple(args.bins), labels=tuple(args.labels),
+                hourly_partitions=args.hourly_partitions),
+        if_exists=args.if_exists,
         input_schema=METER_DAYS if args.declared_schema else None,
         save_rejects=args.save_rejects,
     )

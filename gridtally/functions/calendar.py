@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# First month of each three-month season and the vacation months.
+# The months of each season and the vacation months.
 SEASON_BY_MONTH = {
     "winter": (12, 1, 2),
     "spring": (3, 4, 5),
@@ -30,9 +30,8 @@ FIXED_HOLIDAYS = (
 # Months whose first Sunday is a holiday (mothers' and fathers' day).
 FIRST_SUNDAY_MONTHS = (5, 6)
 
-# The calendar is built for these years: 111 years of about 16 days, always
-# small enough to broadcast.
-FIRST_YEAR, LAST_YEAR = 1990, 2100
+# Fixed value: the year from which the calendar is known.  Earlier dates are no holidays.
+FIRST_YEAR = 1990
 
 
 def season(month: Column) -> Column:
@@ -59,22 +58,24 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(year, div(from_march, 31).cast("int"), (from_march % 31 + 1).cast("int"))
 
 
-def holiday_calendar(spark: SparkSession, first_year: int = FIRST_YEAR,
-                     last_year: int = LAST_YEAR) -> DataFrame:
-    """Distinct public holidays of Lithuania, one ``holiday_date`` per row."""
-    year = F.col("year")
-    fixed = [
-        F.when(year >= since, F.make_date(year, F.lit(month), F.lit(day)))
-        for month, day, since in FIXED_HOLIDAYS
-    ]
-    sundays = [
-        F.next_day(F.date_sub(F.make_date(year, F.lit(month), F.lit(1)), 1), "SUN")
-        for month in FIRST_SUNDAY_MONTHS
-    ]
-    easter = easter_sunday(year)
-    days = F.array(*fixed, *sundays, easter, F.date_add(easter, 1))
+def is_holiday(day: Column) -> Column:
+    """Whether a date is a public holiday of Lithuania, for any year from FIRST_YEAR on."""
+    year, month, of_month = F.year(day), F.month(day), F.dayofmonth(day)
+    fixed = [(month == m) & (of_month == d) & (year >= since) for m, d, since in FIXED_HOLIDAYS]
+    sunday = (F.weekday(day) == 6) & (of_month <= 7) & month.isin(*FIRST_SUNDAY_MONTHS)
+    # Easter falls between 22 March and 25 April, so that other months need no computing.
+    easter = F.when(month.isin(3, 4), F.date_diff(day, easter_sunday(year)).isin(0, 1)).otherwise(False)
+    found = sunday | easter
+    for one in fixed:
+        found = found | one
+    return F.coalesce(found & (year >= FIRST_YEAR), F.lit(False))
+
+
+def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
+    """The public holidays of some years, one ``holiday_date`` per row."""
+    days = F.explode(F.sequence(F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31))))
     return (
-        spark.range(first_year, last_year + 1, 1, 1)
-        .select(F.col("id").cast("int").alias("year"))
-        .select(F.explode(F.array_distinct(F.array_compact(days))).alias("holiday_date"))
+        spark.range(first_year, last_year + 1)
+        .select(F.col("id").cast("int").alias("year")).select(days.alias("holiday_date"))
+        .where(is_holiday(F.col("holiday_date")))
     )

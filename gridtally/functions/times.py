@@ -4,9 +4,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: what ends a zone-aware time.  A time of day must stand before the
-# offset, so that the "-2022" of "01-01-2022" is not taken for one.
-OFFSET_AT_END = r"\d{2}:\d{2}(:\d{2}([.,]\d+)?)?\s*([+-]\d{2}:?\d{2}|Z)$"
+# The notations of a time, once compact ones have their separators.  A text
+# that does not match as a whole is no time, whatever it holds.  A zone needs a time of day
+# before it, so that the "-2022" of "01-01-2022" is not taken for one.
+_TIME = (r"^(\d{4}-\d{1,2}-\d{1,2})"  # 1: date
+         r"(?:[Tt ](\d{1,2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?)?"  # 2 to 5: hour, minute, second, fraction
+         r"\s*([Zz]|UTC|GMT|[+-]\d{1,2}(?::?\d{2})?|[A-Za-z]+(?:/[A-Za-z0-9_+-]+)+)?)?$")  # 6: zone
+_OFFSET = r"^([+-])(\d{1,2}):?(\d{2})?$"
+
+# Notations of a date in order of trial, beside ISO.  Months come before days.
+DATE_FORMATS = ("yyyyMMdd", "yyyy/MM/dd", "MM/dd/yyyy", "dd.MM.yyyy", "MMM d yyyy", "MMM d, yyyy")
 
 
 def _epoch() -> Column:
@@ -50,20 +57,41 @@ def utc_from_instant(ts: Column) -> Column:
 
 def utc_from_local(ts_ntz: Column, timezone: str) -> Column:
     """Naive UTC time of a naive local time; null where a clock change makes the
-    local time missing or double."""
-    hour = F.make_dt_interval(F.lit(0), F.lit(1))
-    utc = F.convert_timezone(F.lit(timezone), F.lit("UTC"), ts_ntz)
-    back = lambda t: F.convert_timezone(F.lit("UTC"), F.lit(timezone), t)
-    single = (back(utc) == ts_ntz) & (back(utc + hour) != ts_ntz) & (back(utc - hour) != ts_ntz)
-    return F.when(single, utc)
+    local time missing or double.
+
+    The zone's offsets a day before and a day after decide: the time is taken with the
+    one, the other, or with neither if both or none of them give it back.  So a change may be of any size, as
+    long as no two fall into the same two days.
+    """
+    day = F.make_dt_interval(F.lit(1))
+    to_local = lambda utc: F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
+    before = to_local(ts_ntz - day) - (ts_ntz - day)
+    after = to_local(ts_ntz + day) - (ts_ntz + day)
+    early, late = ts_ntz - before, ts_ntz - after
+    fits = lambda utc: to_local(utc) == ts_ntz
+    return F.when(before == after, early).when(fits(early) & ~fits(late), early).when(fits(late) & ~fits(early), late)
 
 
 def _utc_from_text(text: Column, timezone: str) -> Column:
-    text = F.trim(text)
-    with_colon = F.regexp_replace(text, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    return F.when(
-        text.rlike(OFFSET_AT_END), utc_from_instant(F.try_to_timestamp(with_colon))
-    ).otherwise(utc_from_local(text.try_cast("timestamp_ntz"), timezone))
+    """A text with a zone keeps its instant, one without is a local time; any other text has none."""
+    text = F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})(?=$|[Tt ])", "$1-$2-$3")
+    text = F.regexp_replace(text, r"(?<=[Tt ])(\d{2})(\d{2})(\d{2})?(?=$|[^\d:])", "$1:$2:$3")
+    text = F.regexp_replace(text, r":(?=$|[^\d])", "")
+    part = lambda n: F.regexp_extract(text, _TIME, n)
+    two = lambda n: F.lpad(F.when(part(n) == "", "0").otherwise(part(n)), 2, "0")
+    clock = F.concat(part(1), F.lit("T"), two(2), F.lit(":"), two(3), F.lit(":"), two(4), F.lit("."),
+                     F.rpad(F.substring(part(5), 1, 6), 6, "0"))
+    local = F.when(text.rlike(_TIME), clock.try_cast("timestamp_ntz"))
+    zone = part(6)
+    number = lambda n: F.coalesce(F.regexp_extract(zone, _OFFSET, n).try_cast("int"), F.lit(0))
+    sign = F.when(F.regexp_extract(zone, _OFFSET, 1) == "-", -1).otherwise(1)
+    shifted = local - F.make_dt_interval(F.lit(0), sign * number(2), sign * number(3))
+    return (
+        F.when(zone == "", utc_from_local(local, timezone))
+        .when(F.upper(zone).isin("Z", "UTC", "GMT"), local)
+        .when(zone.rlike(_OFFSET), F.when((number(2) <= 18) & (number(3) < 60), shifted))
+        .otherwise(utc_from_instant(F.try_to_timestamp(F.concat(local.cast("string"), F.lit(" "), zone))))
+    )
 
 
 def parse_to_utc(df: DataFrame, column: str, timezone: str) -> Column:
@@ -94,6 +122,5 @@ def to_day(df: DataFrame, column: str) -> Column:
     text = F.trim(col.cast("string"))
     return F.coalesce(
         F.to_date(text.try_cast("timestamp_ntz")),
-        F.to_date(F.try_to_timestamp(text, F.lit("yyyyMMdd"))),
-        F.to_date(F.try_to_timestamp(text, F.lit("yyyy/MM/dd"))),
+        *[F.to_date(F.try_to_timestamp(text, F.lit(form))) for form in DATE_FORMATS],
     )

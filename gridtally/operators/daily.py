@@ -87,22 +87,20 @@ def aggregate_daily_from_hourly(df: DataFrame) -> DataFrame:
 def add_season_and_holiday_flags(df_daily: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """Add ``month``, ``season``, ``is_holiday`` and ``is_summer_vacation``.
 
-    ``holidays`` may be any frame with a ``holiday_date`` column.
+    ``holidays`` may be any frame with a ``holiday_date`` column; without it the date itself tells.
     """
     df = _with_date(df_daily)
-    if holidays is None:
-        known = F.broadcast(calendar.holiday_calendar(df.sparkSession))
-    else:
-        known = holidays.select("holiday_date").distinct()
     day, month = F.to_date("date_local"), F.month(F.to_date("date_local"))
-    flagged = df.join(known, day == F.col("holiday_date"), "left")
-    added = {
+    holiday = calendar.is_holiday(day)
+    if holidays is not None:
+        df = df.join(holidays.select("holiday_date").distinct(), day == F.col("holiday_date"), "left")
+        holiday = F.col("holiday_date").isNotNull()
+    flagged = df.withColumns({
         "month": month,
         "season": calendar.season(month),
-        "is_holiday": F.col("holiday_date").isNotNull().cast("int"),
+        "is_holiday": holiday.cast("int"),
         "is_summer_vacation": calendar.is_summer_vacation(month),
-    }
-    flagged = flagged.withColumns(added).drop("holiday_date")
+    }).drop("holiday_date")
     return flagged if "date_local" in df_daily.columns else flagged.drop("date_local")
 
 

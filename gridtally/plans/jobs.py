@@ -1,16 +1,16 @@
 """The jobs: build and store the tables, run the reports, or both."""
 
 import logging
+from dataclasses import replace
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtally.operators.expand import check_columns, reject_reason, rejected_meter_days
 from gridtally.operators.monthly import derive_monthly_from_daily
-from gridtally.plans.pipeline import Options, daily_table, hourly_table, raw_hours
-from gridtally.plans.reports import REPORTS, Tables
+from gridtally.plans.pipeline import Options, daily_table, hourly_partitions, hourly_table, raw_hours
+from gridtally.plans.reports import BOUNDED_REPORTS, REPORTS, Tables
 from gridtally.settings import (
     DAILY_TABLE,
     HOURLY_TABLE,
@@ -41,9 +41,6 @@ STATUS = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 
-# Reports that grow with the number of meters or days keep their partitions.
-_GROWING_REPORTS = {"peak_to_mean_outliers"}
-
 
 def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_root: str,
             options: Options = Options(), input_schema: T.StructType | None = None,
@@ -53,7 +50,12 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
     ``out_folder=None`` leaves the CSVs out, among them the two hourly ones, whose
     rows must be sorted over all meters.  Returns the stored tables and registers
     them as views; None without input.
+
+    ``if_exists`` is ``replace`` or ``fail``.  Lags, running totals and months go on from earlier rows, so that
+    a run over new input alone can't be appended: run over all input.
     """
+    if if_exists not in ("replace", "fail"):
+        raise ValueError("if_exists must be 'replace' or 'fail': tables of a run can't be appended to those of another")
     raw = read_all_parquets(spark, input_glob, input_schema)
     if raw.isEmpty():
         log.error("no input rows in %s", input_glob)
@@ -63,26 +65,24 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
     if out_folder is not None:
         write_csv(raw_hours(raw, options), table_path(out_folder, "meter_hourly_raw.csv"),
                   order_by=["ext_dev_ref", "timestamp_local"])
+    rejected = reject_reason(raw, options.date_col, options.arr_col).isNotNull()
+    counts = raw.agg(F.count(F.lit(1)).alias("read"), F.count_if(rejected).alias("rejected")).first().asDict()
+    if options.hourly_partitions is None:
+        session = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        options = replace(options, hourly_partitions=hourly_partitions(counts["read"], session))
     # Only the hourly order needs the place of a row; the schema is known by now.
-    placed = read_all_parquets(spark, input_glob, raw.schema, source_row=True)
-    written = {name: Observation(name) for name in (HOURLY_TABLE, DAILY_TABLE, MONTHLY_TABLE)}
-    counted = lambda df, name: df.observe(written[name], F.count(F.lit(1)).alias("n"))
-    save_table(counted(hourly_table(placed, options, meters=raw), HOURLY_TABLE), HOURLY_TABLE, table_root, if_exists,
+    placed = read_all_parquets(spark, input_glob, input_schema, source_row=True)
+    save_table(hourly_table(placed, options, meters=raw), HOURLY_TABLE, table_root, if_exists,
                partition_by=["year", "month"], sort_by=["ext_dev_ref", "timestamp"])
     if out_folder is not None:
         write_csv(read_table(spark, HOURLY_TABLE, table_root),
                   table_path(out_folder, "meter_hourly_features.csv"),
                   order_by=["ext_dev_ref", "timestamp", "timestamp_local"])
 
-    # Counted while the daily table is built.  A map task that runs again after a lost
-    # executor may be counted twice; the tables themselves are not affected.
-    counts = Observation("meter_days")
-    rejected = reject_reason(raw, options.date_col, options.arr_col).isNotNull()
-    observed = raw.observe(counts, F.count(F.lit(1)).alias("read"), F.count_if(rejected).alias("rejected"))
-    save_table(counted(daily_table(observed, options), DAILY_TABLE), DAILY_TABLE, table_root, if_exists,
+    save_table(daily_table(raw, options), DAILY_TABLE, table_root, if_exists,
                sort_by=["ext_dev_ref", "date_local"])
     daily = read_table(spark, DAILY_TABLE, table_root)
-    save_table(counted(derive_monthly_from_daily(daily), MONTHLY_TABLE), MONTHLY_TABLE, table_root, if_exists,
+    save_table(derive_monthly_from_daily(daily), MONTHLY_TABLE, table_root, if_exists,
                sort_by=["ext_dev_ref", "year", "month"])
     if save_rejects:
         save_table(rejected_meter_days(raw, options.date_col, options.arr_col), REJECTS_TABLE,
@@ -95,32 +95,20 @@ def run_etl(spark: SparkSession, input_glob: str, out_folder: str | None, table_
                   order_by=["client_id", "ext_dev_ref", "date_local"])
         write_csv(tables[MONTHLY_TABLE], table_path(out_folder, "meter_monthly_agg.csv"),
                   order_by=["client_id", "ext_dev_ref", "year", "month"])
-
-    read = lambda: raw.agg(
-        F.count(F.lit(1)).alias("read"), F.count_if(rejected).alias("rejected")).first().asDict()
-    save_run_metrics(spark, _observed(counts, read),
-                     {name: _observed(seen, lambda: {"n": 0})["n"] for name, seen in written.items()}, table_root)
+    save_run_metrics(spark, counts, tables, table_root)
     return tables
 
 
-def _observed(observation: Observation, otherwise) -> dict:
-    """The observed counts.  Where a result turns out empty Spark may drop the counting
-    with the rest of the plan; ``otherwise`` gives the counts then."""
-    try:
-        return observation.get
-    except Py4JJavaError:
-        return otherwise()
-
+def save_run_metrics(spark: SparkSession, counts: dict, tables: Tables, table_root: str) -> None:
+    """Append the run's row counts to the table ``run_metrics``.
 
-def save_run_metrics(spark: SparkSession, counts: dict, written: dict, table_root: str) -> None:
-    """Append the run's row counts to the table ``run_metrics``."""
-    expanded = (counts["read"] - counts["rejected"]) * HOURS_PER_DAY
+    The tables are counted as they are stored, from their footers, so that a task that ran twice doesn't show.
+    """
     rows = [
         ("meter_days_read", counts["read"]),
         ("meter_days_rejected", counts["rejected"]),
-        ("hours_expanded", expanded),
-        ("hours_unparsed", expanded - written[HOURLY_TABLE]),
-        *((f"{name}_written", n) for name, n in written.items()),
+        ("hours_expanded", (counts["read"] - counts["rejected"]) * HOURS_PER_DAY),
+        *((f"{name}_written", tables[name].count()) for name in (HOURLY_TABLE, DAILY_TABLE, MONTHLY_TABLE)),
     ]
     for step, n_rows in rows:
         log.info("%s: %d", step, n_rows)
@@ -128,24 +116,24 @@ def save_run_metrics(spark: SparkSession, counts: dict, written: dict, table_roo
     save_table(metrics.coalesce(1), "run_metrics", table_root, if_exists="append")
 
 
-def run_queries(spark: SparkSession, tables: Tables, out_folder: str, reports=None) -> DataFrame:
+def run_queries(spark: SparkSession, tables: Tables, out_folder: str, reports=None, bounded=BOUNDED_REPORTS) -> DataFrame:
     """Write every report as CSV; one that fails is logged and the others go on.
 
+    The reports named in ``bounded`` don't grow with the data and become one file each.
     Returns a row per report with its state and number of rows.
     """
     status = []
     for name, report in (REPORTS if reports is None else reports).items():
+        path = table_path(out_folder, f"{name}.csv")
         try:
-            rows = Observation(name)
-            result = report(tables).observe(rows, F.count(F.lit(1)).alias("n"))
-            write_csv(result, table_path(out_folder, f"{name}.csv"),
-                      single_file=name not in _GROWING_REPORTS)
-            n = _observed(rows, lambda: {"n": 0})["n"]
+            result = report(tables)
+            write_csv(result, path, single_file=name in bounded)
+            n = spark.read.option("header", True).schema(result.schema).csv(path).count()
             status.append((name, "ok", n, None))
             log.info("report %s: %d rows", name, n)
         except Exception as error:  # noqa: BLE001 - any failure belongs in the status
             log.exception("report %s failed", name)
-            status.append((name, "failed", None, str(error).splitlines()[0]))
+            status.append((name, "failed", None, (str(error).splitlines() or [type(error).__name__])[0]))
     return spark.createDataFrame(status, STATUS)
 
 

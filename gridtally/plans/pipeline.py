@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridtally.functions import times
 from gridtally.functions.readings import DEFAULT_BINS, DEFAULT_LABELS
 from gridtally.operators.daily import (
     add_rolling_aggregates_daily,
@@ -16,14 +17,18 @@ from gridtally.operators.daily import (
 from gridtally.operators.expand import check_columns, expand_daily_array_to_hourly
 from gridtally.operators.hourly import set_calendar
 from gridtally.operators.lookback import (
+    CUT,
+    DAY,
     METER,
+    PARTS,
     ROW,
+    SLICE,
     SPREAD,
     Lookback,
-    hot_groups,
+    slice_days,
     sliced_lookback,
-    whole_lookback,
     with_row_id,
+    with_slices,
 )
 from gridtally.operators.monthly import derive_monthly_from_daily
 from gridtally.settings import (
@@ -32,7 +37,8 @@ from gridtally.settings import (
     HOURLY_TABLE,
     HOURS_PER_DAY,
     LOCAL_TZNAME,
-    MAX_ROWS_PER_TASK,
+    MAX_DAYS_PER_TASK,
+    MAX_ROWS_PER_SLICE,
     MONTHLY_TABLE,
 )
 
@@ -51,8 +57,8 @@ class Options:
     bins: Sequence[float] = DEFAULT_BINS
     labels: Sequence[str] = DEFAULT_LABELS
     holidays: DataFrame | None = field(default=None, compare=False)
-    max_rows_per_task: int = MAX_ROWS_PER_TASK
-    hourly_partitions: int | None = None  # default: spark.sql.shuffle.partitions
+    max_rows_per_slice: int = MAX_ROWS_PER_SLICE
+    hourly_partitions: int | None = None  # default: by the number of meter-days, see hourly_partitions()
 
 
 def raw_hours(raw: DataFrame, options: Options = Options()) -> DataFrame:
@@ -66,35 +72,45 @@ def hours_with_time(raw: DataFrame, options: Options = Options(), keep: Sequence
     return set_calendar(hours, F.col("_utc"), options.timezone, options.calendar).drop("_utc")
 
 
+def hourly_partitions(meter_days: int, session_default: int) -> int:
+    """Partitions of the hourly shuffle: as many as the input needs, and not fewer than the session's default."""
+    return max(session_default, -(-meter_days // MAX_DAYS_PER_TASK))
+
+
 def hourly_table(raw: DataFrame, options: Options = Options(),
                  meters: DataFrame | None = None) -> DataFrame:
     """Hourly rows with all features.
 
-    The meter-days are shuffled by meter before they are expanded: an array of 24
-    numbers instead of 24 wide rows.  The window that follows needs no further
-    exchange.  The number of partitions is given, because an adaptive plan would join
+    The meter-days are cut into slices and shuffled by them before they are expanded: an
+    array of 24 numbers instead of 24 wide rows.  The window that follows reuses that
+    partitioning.  The number of partitions is given, because an adaptive plan would join
     partitions by the size of the arrays, which grow twentyfold in the same task.
-    Oversized meters take the sliced way; without any, Spark finds
-    their list empty and drops that branch before reading for it.  ``meters`` may be
-    the same meter-days read without row places, so that counting reads one column
-    and nothing else.
+
+    The hours of a day follow those of the day before, so that slices of local days are
+    runs of rows.  ``meters`` may be the same meter-days read without row places, so that
+    counting reads two columns and nothing else.
     """
     check_columns(raw, options.date_col, options.arr_col)
     lookback = Lookback(tuple(options.lags), options.window_hours)
-    rows = with_row_id(raw)
-    oversized = F.broadcast(
-        hot_groups(raw if meters is None else meters, [METER],
-                   options.max_rows_per_task // HOURS_PER_DAY).select(METER))
-    partitions = options.hourly_partitions or int(
-        raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordinary = rows.join(oversized, METER, "left_anti").repartition(partitions, METER, SPREAD)
-    large = rows.join(oversized, METER, "left_semi")
-
-    keep = [ROW, SPREAD]
-    hours = whole_lookback(hours_with_time(ordinary, options, keep), lookback).unionByName(
-        sliced_lookback(hours_with_time(large, options, keep), lookback,
-                        limit=options.max_rows_per_task))
-    return hours.drop(*keep)
+    day = lambda df: F.coalesce(times.to_day(df, options.date_col), F.to_date(F.lit("0001-01-01")))
+    counted = raw if meters is None else meters
+    counts = (
+        counted.where(F.col(METER).isNotNull()).withColumn(DAY, day(counted))
+        .groupBy(METER, DAY).agg((F.count("*") * HOURS_PER_DAY).alias("n"))
+        .withColumn(SPREAD, F.lit(0).cast("bigint")))
+    slices = slice_days(counts, options.max_rows_per_slice)
+    rows = with_row_id(raw).withColumn(DAY, day(raw))
+    partitions = options.hourly_partitions or hourly_partitions(
+        0, int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = with_slices(rows, slices).repartition(partitions, METER, SPREAD, SLICE)
+    # Meters with several slices once more, for the rows that carry over; without any, Spark
+    # finds this side empty and drops it.
+    again = rows.join(slices, [METER, SPREAD, DAY]).withColumn(CUT, F.lit(True))
+
+    keep = [ROW, SPREAD, DAY, SLICE, PARTS, CUT]
+    hours = sliced_lookback(hours_with_time(dealt, options, keep), lookback,
+                            cut=hours_with_time(again, options, keep), partitions=partitions)
+    return hours.drop(ROW, SPREAD)
 
 
 def daily_table(raw: DataFrame, options: Options = Options()) -> DataFrame:

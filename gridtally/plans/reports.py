@@ -127,3 +127,6 @@ REPORTS: dict[str, Callable[..., DataFrame]] = {
         peak_to_mean_outliers,
     )
 }
+
+# Reports with a limit or a row per calendar value: their size doesn't follow the data.
+BOUNDED_REPORTS = frozenset(REPORTS) - {"peak_to_mean_outliers"}

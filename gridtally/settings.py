@@ -10,12 +10,12 @@ REJECTS_TABLE = "meter_rejects"
 
 HOURS_PER_DAY = 24
 
-# A group of rows that must be seen in order is handled by one task up to this
-# many rows; a larger one is sliced (operators/lookback.py).  5 million hourly
-# rows are 570 years of one ordinary meter.
-MAX_ROWS_PER_TASK = 5_000_000
+# Rows that must be seen in order are cut into slices of about this many (operators/lookback.py).
+# A million hourly rows are 114 years of one meter.
+MAX_ROWS_PER_SLICE = 1_000_000
 
-# At most this many group keys are ever broadcast (a key and a count each, some
-# 10 MB).  The largest groups come first, so a group left out holds less than
-# 1 / MAX_BROADCAST_KEYS of all rows.
-MAX_BROADCAST_KEYS = 200_000
+# Meter-days in one task of the hourly table: some 10 MB of arrays before the expansion.
+MAX_DAYS_PER_TASK = 50_000
+
+# Rows in one file of a stored table.
+MAX_ROWS_PER_FILE = 10_000_000

@@ -1,8 +1,6 @@
 """Stored tables, CSV files and SQL over them."""
 
 import logging
-import tempfile
-import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,7 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridtally.schemas import DAILY, HOURLY, MONTHLY
-from gridtally.settings import DAILY_ROLLING_VIEW, DAILY_TABLE, HOURLY_TABLE, MONTHLY_TABLE
+from gridtally.settings import (
+    DAILY_ROLLING_VIEW,
+    DAILY_TABLE,
+    HOURLY_TABLE,
+    MAX_ROWS_PER_FILE,
+    MONTHLY_TABLE,
+)
 
 log = logging.getLogger(__name__)
 
@@ -29,14 +33,21 @@ def save_table(df: DataFrame, table_name: str, root: str, if_exists: str = "repl
 
     ``partition_by`` gives folders that a filter can skip; rows sorted by
     ``sort_by`` inside a file let parquet statistics skip row groups.  Both stand
-    where a database would have indexes, and neither shuffles.
+    where a database would have indexes.
+
+    With folders the rows are shuffled to them first, so that the number of files follows
+    the size of the folders and not the number of tasks: Spark splits a large folder and
+    joins small ones by its advisory partition size, and no file has more than
+    MAX_ROWS_PER_FILE rows.
     """
     if if_exists not in _WRITE_MODES:
         raise ValueError(f"if_exists must be one of {sorted(_WRITE_MODES)}")
     path = table_path(root, table_name)
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode(_WRITE_MODES[if_exists])
+    writer = df.write.mode(_WRITE_MODES[if_exists]).option("maxRecordsPerFile", MAX_ROWS_PER_FILE)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -70,10 +81,15 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 
 
 def read_sql_to_df(spark: SparkSession, sql: str, root: str | None = None) -> DataFrame:
-    """Result of a SQL text over the tables under ``root`` (or over views already there)."""
-    if root is not None:
-        register_views(open_tables(spark, root))
-    return spark.sql(sql)
+    """Result of a SQL text over the tables under ``root`` (or over views already there).
+
+    The tables are views of a session of their own, so that views of the same names stay as the caller has them.
+    """
+    if root is None:
+        return spark.sql(sql)
+    own = spark.newSession()
+    register_views(open_tables(own, root))
+    return own.sql(sql)
 
 
 def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_file: bool = False) -> None:
@@ -94,14 +110,3 @@ def write_csv(df: DataFrame, path: str, order_by: Sequence[str] = (), single_fil
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name that all executors see: below ``spark.checkpoint.dir``, or, in
-    a local session without that setting, a temporary folder of this machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        shared = tempfile.mkdtemp(prefix="gridtally-")
-    return f"{shared.rstrip('/')}/gridtally-{uuid.uuid4().hex}"

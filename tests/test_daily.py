@@ -136,20 +136,31 @@ def test_holidays_of_a_year(spark):
 
 
 def test_first_years_of_holidays(spark):
-    days = {str(r.holiday_date) for r in holiday_calendar(spark).collect()}
+    days = {str(r.holiday_date) for r in holiday_calendar(spark, 1980, 2110).collect()}
+    assert min(days) == "1990-01-01"
+    assert {"2101-12-25", "2101-04-17", "2101-01-01"} <= days
     for date, known in (("1990-07-06", False), ("1991-07-06", True), ("2002-06-24", False), ("2003-06-24", True),
                         ("2019-11-02", False), ("2020-11-02", True), ("2024-05-05", True), ("2025-06-01", True)):
         assert (date in days) == known, date
 
 
 def test_easter(spark):
-    days = {str(r.holiday_date) for r in holiday_calendar(spark).collect()}
+    days = {str(r.holiday_date) for r in holiday_calendar(spark, 1990, 2100).collect()}
     for sunday in ("1990-04-15", "2000-04-23", "2008-03-23", "2011-04-24", "2024-03-31", "2025-04-20",
                    "2038-04-25", "2049-04-18", "2076-04-19", "2100-03-28"):
         monday = datetime.date.fromisoformat(sunday) + datetime.timedelta(days=1)
         assert {sunday, str(monday)} <= days
 
 
+def test_holidays_need_no_calendar_of_years(spark):
+    rows = [(datetime.date(y, 12, 25),) for y in (1989, 1990, 2100, 2101, 2500)] + [(None,)]
+    flagged = add_season_and_holiday_flags(spark.createDataFrame(rows, "date_local date"))
+    assert [r.is_holiday for r in flagged.orderBy("date_local").collect()] == [0, 0, 1, 1, 1, 1]
+    own = spark.createDataFrame([(datetime.date(1989, 12, 25),)], "holiday_date date")
+    flagged = add_season_and_holiday_flags(spark.createDataFrame(rows, "date_local date"), own)
+    assert [r.is_holiday for r in flagged.orderBy("date_local").collect()] == [0, 1, 0, 0, 0, 0]
+
+
 def test_seasons_and_vacation(spark):
     dates = [datetime.date(2022, m, 10) for m in range(1, 13)]
     df = spark.createDataFrame([(d,) for d in dates], "date_local date")

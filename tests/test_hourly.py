@@ -12,11 +12,17 @@ from pyspark.sql import functions as F
 from gridtally.operators.expand import expand_daily_array_to_hourly, rejected_meter_days
 from gridtally.operators.hourly import add_time_features_hourly, unparsed_timestamps
 from gridtally.operators.lookback import (
+    DAY,
+    METER,
+    SLICE_KEY,
     Lookback,
     add_lag_features,
     add_lookback_features,
     add_rolling_features_hourly,
-    hot_groups,
+    slice_days,
+    with_row_id,
+    with_slice_key,
+    with_slices,
 )
 from gridtally.plans.pipeline import Options, hourly_table, hours_with_time
 from gridtally.schemas import HOURLY, HOURLY_RAW_COLUMNS, METER_DAYS
@@ -224,7 +230,7 @@ def test_lookback_whole_and_sliced(spark, limit):
 
 @pytest.mark.parametrize("limit", [1_000_000, 24])
 def test_pipeline_lookback(spark, limit):
-    rows = hourly_table(gaps_and_nulls(spark), Options(max_rows_per_task=limit)).collect()
+    rows = hourly_table(gaps_and_nulls(spark), Options(max_rows_per_slice=limit)).collect()
     assert_lookback(rows)
 
 
@@ -241,9 +247,8 @@ def copies(spark):
 def test_hot_meter_is_sliced_without_changing_values(spark, tmp_path):
     copies(spark).repartition(5).write.parquet(str(tmp_path / "in"))
     raw = read_all_parquets(spark, str(tmp_path / "in/*.parquet"), source_row=True)
-    whole = hourly_table(raw, Options(max_rows_per_task=10_000_000))
-    sliced = hourly_table(raw, Options(max_rows_per_task=240))
-    assert [r.ext_dev_ref for r in hot_groups(raw, ["ext_dev_ref"], 10).collect()] == ["shared"]
+    whole = hourly_table(raw, Options(max_rows_per_slice=10_000_000))
+    sliced = hourly_table(raw, Options(max_rows_per_slice=240))
     six = lambda df: df.withColumns({c: F.round(c, 6) for c in ("rolling_mean_24h", "rolling_std_24h")}).drop("source_row")
     assert whole.count() == sliced.count() == 24 * (90 + 80 + 5)
     assert six(whole).exceptAll(six(sliced)).isEmpty()
@@ -252,6 +257,29 @@ def test_hot_meter_is_sliced_without_changing_values(spark, tmp_path):
     assert {(r.lag_1h, r.lag_24h) for r in tail.collect()} >= {(12.0, 12.0)}
 
 
+def largest_slice(hours, limit):
+    """(rows of the largest slice, number of slices)."""
+    rows = with_row_id(hours).withColumn(DAY, F.to_date("timestamp"))
+    counts = rows.groupBy(METER, DAY).agg(F.count("*").alias("n")).withColumn("_spread", F.lit(0).cast("bigint"))
+    sizes = with_slice_key(with_slices(rows, slice_days(counts, limit))).groupBy(*SLICE_KEY).count()
+    return tuple(sizes.agg(F.max("count"), F.count("*")).first())
+
+
+def test_slices_of_a_meter_with_distinct_instants_only(spark):
+    days = [(str(datetime.date(2022, 1, 1) + datetime.timedelta(days=i))) for i in range(40)]
+    hours = hourly(meter_days(spark, [("c", d, "m", [1] * 24) for d in days]))
+    most, slices = largest_slice(hours, 100)
+    # A slice has at most the limit and one day; so the carried rows are 24 for about 100, not all of them.
+    assert most <= 100 + 24 and slices <= 10
+
+
+def test_slices_of_equal_copies(spark):
+    hours = hourly(meter_days(spark, [("c", "2022-01-05", "m", list(range(24)))] * 1000))
+    most, slices = largest_slice(hours, 100)
+    # 24 instants of 1000 rows, each cut into 240 parts: no row id is shared by copies.
+    assert most <= 100 and slices > 24 * 50
+
+
 def test_null_meter_has_no_lookback(spark):
     df = meter_days(spark, [("c", f"2022-01-0{d}", None, [d] * 24) for d in (1, 2, 3)])
     for rows in (hourly_table(df).collect(),
@@ -312,5 +340,58 @@ def test_source_rows_are_distinct(spark, tmp_path):
     assert df.select("source_row").distinct().count() == df.count() == 175
 
 
-def test_drop_repeated_meter_days(spark):
+def test_drop_repeated_meter_days(spark, tmp_path):
     assert drop_repeated_meter_days(copies(spark)).count() == 90 + 1 + 5
+    meter_days(spark, [("c", "2022-01-01", "m", [9] * 24), ("c", "2022-01-01", "m", [1] * 24)]).coalesce(1).write.parquet(
+        str(tmp_path / "in"))
+    placed = read_all_parquets(spark, str(tmp_path / "in/*.parquet"), source_row=True)
+    first = placed.orderBy("source_row").first()
+    assert drop_repeated_meter_days(placed).collect() == [first]
+    assert drop_repeated_meter_days(placed.drop("source_row")).first().energy_consumption == [1] * 24
+
+
+def test_files_of_different_types(spark, tmp_path):
+    year = golden_year(spark)
+    year.where("month(date) = 1").write.parquet(str(tmp_path / "a"))
+    year.where("month(date) = 2").selectExpr(
+        "client_id", "ext_dev_ref", "date_format(date, 'MMM d, yyyy') AS date",
+        "CAST(energy_consumption AS array<double>) AS energy_consumption").write.parquet(str(tmp_path / "b"))
+    df = read_all_parquets(spark, str(tmp_path / "*/*.parquet"), source_row=True)
+    hours = expand_daily_array_to_hourly(df)
+    assert hours.count() == 24 * 59 and hours.select("date_local").distinct().count() == 59
+    assert df.select("source_row").distinct().count() == 59
+
+
+def test_declared_schema_still_misses_a_column(spark, tmp_path):
+    golden_year(spark).drop("ext_dev_ref").write.parquet(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="ext_dev_ref"):
+        read_all_parquets(spark, str(tmp_path / "in/*.parquet"), METER_DAYS)
+
+
+@pytest.mark.parametrize("text, utc", [
+    ("2022-01-05T10:00:00+05", "05:00"), ("2022-01-05 10:00:00 UTC", "10:00"), ("2022-01-05T10:00:00GMT", "10:00"),
+    ("2022-01-05 10:00:00 America/New_York", "15:00"), ("2022-01-05T10:00:00-5:00", "15:00"),
+    ("2022-01-05T10:00+05:30", "04:30"), ("2022-01-05T10+02:00", "08:00"), ("2022-01-05t10:00:00z", "10:00"),
+    ("20220105T100000", "08:00"), ("20220105T100000Z", "10:00"), ("20220105T1000+0100", "09:00"),
+    ("2022-01-05 10:00:00.25", "08:00"), ("2022-01-05T10:00:00,5+02:00", "08:00"), ("2022-1-5 1:30", None),
+    ("2022-01-05", None), ("2022-01-05T10:00:00+25:00", "reject"), ("2022-01-05T10:00:00+02:75", "reject"),
+    ("2022-01-05T10:00:00 Nowhere/City", "reject"), ("2022-13-05T10:00:00", "reject"), ("01-01-2022", "reject"),
+    ("2022-01-05T25:00:00", "reject"), ("2022-01-05T10:00:00 XYZ 5", "reject"), ("", "reject"), ("T10:00", "reject")])
+def test_notations(spark, session_zone, text, utc):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = add_time_features_hourly(df, "t").collect()
+    if utc == "reject":
+        assert got == [] and unparsed_timestamps(df, "t").count() == 1
+    elif utc:
+        assert got[0].timestamp.strftime("%H:%M") == utc and str(got[0].date_local) == "2022-01-05"
+    else:  # local times of Vilnius, two hours ahead
+        assert str(got[0].timestamp) in ("2022-01-04 23:30:00", "2022-01-04 22:00:00")
+
+
+@pytest.mark.parametrize("text, utc", [
+    ("2022-04-03T01:45:00", None), ("2022-04-03T01:15:00", "2022-04-02 14:15:00") , ("2022-04-03T02:15:00", "2022-04-02 15:45:00"),
+    ("2022-10-02T02:15:00", None), ("2022-10-02T02:45:00", "2022-10-01 15:45:00")])
+def test_half_hour_clock_change(spark, text, utc):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = [str(r.timestamp) for r in add_time_features_hourly(df, "t", timezone="Australia/Lord_Howe").collect()]
+    assert got == ([utc] if utc else [])

@@ -15,7 +15,6 @@ from gridtally.sources.tables import (
     read_sql_to_df,
     read_table,
     save_table,
-    scratch_folder,
     write_csv,
 )
 
@@ -99,6 +98,7 @@ def test_read_sql(spark, tmp_path):
     got = read_sql_to_df(spark, "SELECT count(*) AS n FROM meter_daily_rolling_7d WHERE date_local >= '2022-05-01'",
                          str(tmp_path))
     assert got.first().n == 31
+    tables["meter_monthly"].createOrReplaceTempView("meter_monthly")
     assert read_sql_to_df(spark, "SELECT sum(monthly_total_kwh) AS s FROM meter_monthly").first().s == 2400.0 * 31
 
 
@@ -119,12 +119,50 @@ def test_sorted_csv_spreads_copies(spark, tmp_path):
     assert rows == ["a,1"] * 1000 + [f"b,{i}" for i in range(10)]
 
 
-def test_scratch_folder_follows_the_session(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    if before:
-        assert scratch_folder(spark).startswith(before.rstrip("/"))
-    else:
-        assert scratch_folder(spark) != scratch_folder(spark)
+def test_two_runs_leave_one_row_per_key(spark, tmp_path):
+    year, root = golden_year(spark), str(tmp_path / "tables")
+    year.where("date < '2022-02-20'").write.parquet(str(tmp_path / "in/a"))
+    run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root)
+    year.where("date BETWEEN '2022-02-20' AND '2022-03-20'").write.parquet(str(tmp_path / "in/b"))
+    twice = run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root)
+    once = BuiltTables(year.where("date <= '2022-03-20'"))
+    for name in ("meter_daily", "meter_monthly"):
+        assert twice[name].exceptAll(once[name].select(*twice[name].columns)).isEmpty()
+        assert twice[name].count() == once[name].count()
+    with pytest.raises(ValueError, match="append"):
+        run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root, if_exists="append")
+    with pytest.raises(AnalysisException):
+        run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root, if_exists="fail")
+
+
+def test_report_without_a_message(spark, tmp_path):
+    def silent(tables):
+        raise ValueError
+
+    many = spark.range(2000, numPartitions=8)
+    status = run_queries(spark, {}, str(tmp_path), {"silent": silent, "many": lambda tables: many}).collect()
+    assert [(r.report, r.status, r.n_rows, r.error) for r in status] == [
+        ("silent", "failed", None, "ValueError"), ("many", "ok", 2000, None)]
+    assert len([f for f in os.listdir(tmp_path / "many.csv") if f.startswith("part-")]) == 8
+
+
+def test_number_of_files_follows_the_folders(spark, tmp_path):
+    hours = BuiltTables(golden_year(spark))["meter_hourly"]
+    found = []
+    for n in (4, 16):
+        path = save_table(hours.repartition(n), "t", str(tmp_path / str(n)), partition_by=["year", "month"])
+        found.append(sum(f.startswith("part-") for _, _, names in os.walk(path) for f in names))
+    assert found[0] == found[1] <= 2 * 13
+
+
+def test_views_of_the_caller_stay(spark, tmp_path):
+    tables = BuiltTables(month(spark))
+    for name in ("meter_hourly", "meter_daily", "meter_monthly"):
+        save_table(tables[name], name, str(tmp_path))
+    spark.range(3).createOrReplaceTempView("meter_daily")
+    assert read_sql_to_df(spark, "SELECT count(*) AS n FROM meter_daily", str(tmp_path)).first().n > 3
+    assert spark.table("meter_daily").count() == 3
+    spark.catalog.dropTempView("meter_daily")
 
 
 def test_command_line(spark, tmp_path):
