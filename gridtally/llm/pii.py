@@ -159,7 +159,7 @@ def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFr
     ``docs`` has the columns of ``base_spans``.  With N documents, n(e) that mention the entity, n(t) that hold the
     word and n(e, t) where it stands beside the entity, the share is log(N n(e,t) / (n(e) n(t))) / log(N / n(e)).
     """
-    mentions = _mentions(docs, rule)
+    mentions = checkpoint(_mentions(docs, rule))  # read twice below; the patterns are dear
     per_entity = mentions.groupBy("entity").agg(F.count("*").alias("n_e"))
     pairs = (
         mentions.select("entity", "context", F.explode("near").alias("term"))
