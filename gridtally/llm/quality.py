@@ -132,19 +132,26 @@ def _with_metadata(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rule: Training = Training()) -> Machine:
-    """A machine from the labelled documents, or from ``rule.rows`` of them that a hash of id and text picks.
+    """A machine from the labelled documents, or from at most ``rule.rows`` of them that a hash of the id picks.
 
     ``labels`` has doc_id and quality (1 good, 0 bad).  Rows without a label of 0 or 1 and documents with both
-    are left out.  Without any labelled row all scores are 0.5.
+    are left out; of rows with one id the least text counts.  Without any labelled row all scores are 0.5.
     """
     ship(docs.sparkSession)
     clear = (labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id")
              .agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
              .where("low = high").select(F.col("doc_id").alias("_id"), F.col("low").alias("label")))
-    order = F.xxhash64("doc_id", "text")
+    # Ids alone first: the texts of the chosen rows are then fetched by a broadcast of at most rule.rows ids.
+    known = docs.select("doc_id").join(clear, F.col("doc_id") == F.col("_id")).select("_id", "label").distinct()
+    count = known.count()
+    place = F.pmod(F.xxhash64("_id"), F.lit(1 << 32))
+    if count > rule.rows:  # so large a share of all hashes that rule.rows is hardly ever passed; the limit makes sure
+        known = known.where(place < int(0.95 * rule.rows / count * (1 << 32)))
+    chosen = known.orderBy(place, "_id").limit(rule.rows)
     sample = (
-        _with_metadata(docs).join(clear, F.col("doc_id") == F.col("_id"))
-        .select("text", "n_chars", "label", order.alias("order")).orderBy("order", "text").limit(rule.rows)
+        _with_metadata(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+        .groupBy("_id").agg(F.min(F.struct("text", "n_chars", "label")).alias("r"))
+        .select("r.*", F.xxhash64("_id").alias("order"))
     )
     rows = sample.mapInPandas(
         _featurise(rule.buckets), "label int, order bigint, index array<int>, value array<float>").collect()
