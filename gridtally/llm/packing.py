@@ -21,7 +21,7 @@ from gridtally.llm.tokens import default_vocabulary, encoder
 OPEN_BINS = 1024
 #: Texts encoded and packed at a time.
 BATCH_CHARS = 1 << 22
-#: Tasks whose open bins meet in one task of the second round: at most TOGETHER * OPEN_BINS items.
+#: Tasks whose open bins meet in one task of the second round: the pieces of at most TOGETHER * OPEN_BINS bins.
 TOGETHER = 64
 
 
@@ -105,15 +105,13 @@ def _pack_partition(path: str, capacity: int, open_bins: int, end_id: int, keep_
     return run
 
 
-def _second_round(capacity: int, open_bins: int):
+def _second_round(capacity: int, columns: list[str]):
+    """Pieces of open bins, the longest first, into as many bins as they need."""
     def run(frame):
-        import pandas as pd
-
-        frame = frame.sort_values(["fill", "task", "bin"], ascending=False)
-        bins, out = BestFit(capacity, max(open_bins, len(frame))), []
-        for task, name, fill in zip(frame["task"], frame["bin"], frame["fill"], strict=True):
-            out.append((task, name, *bins.add(fill)))
-        return pd.DataFrame(out, columns=["task", "bin", "final", "base"]).assign(together=frame["together"].iloc[0])
+        frame = frame.sort_values(["length", "task", "bin", "at"], ascending=False)
+        bins = BestFit(capacity, len(frame))
+        places = [bins.add(n) for n in frame["length"]]
+        return frame.assign(bin=[b for b, _ in places], at=[a for _, a in places])[columns]
     return run
 
 
@@ -135,16 +133,22 @@ def pack(docs: DataFrame, capacity: int = 2048, open_bins: int = OPEN_BINS, voca
     first = checkpoint(
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
         .mapInPandas(_nullable(_pack_partition(path, capacity, open_bins, end_id, keep_ids)), schema))
-    left = first.where("piece < 0").select("task", "bin", "fill", F.floor(F.col("task") / TOGETHER).alias("together"))
-    merged = left.groupBy("together").applyInPandas(
-        _second_round(capacity, open_bins), "task bigint, bin bigint, final bigint, base bigint, together bigint")
-    pieces = first.where("piece >= 0").join(merged, ["task", "bin"], "left")
-    # Numbers of the two rounds do not meet: a closed bin is even, a merged one odd.
+    opened = first.where("piece < 0").select("task", "bin", F.lit(True).alias("opened"))
+    pieces = first.where("piece >= 0").drop("fill").join(opened, ["task", "bin"], "left").withColumn(
+        "together", F.floor(F.col("task") / TOGETHER))
+    again = pieces.where("opened")
+    again = again.groupBy("together").applyInPandas(_nullable_frame(_second_round(capacity, again.columns)), again.schema)
+    # Numbers of the two rounds do not meet: a closed bin is even, one of the second round odd.
     closed = F.shiftleft(F.col("task"), 33) + F.col("bin") * 2
-    joined = F.shiftleft(F.col("together"), 33) + F.col("final") * 2 + 1
-    return pieces.select(
-        "doc_id", "piece", "start", "length", "ids_crc32", F.coalesce(joined, closed).alias("sequence_id"),
-        (F.col("at") + F.coalesce("base", F.lit(0))).alias("offset"), *(["ids"] if keep_ids else []))
+    joined = F.shiftleft(F.col("together"), 33) + F.col("bin") * 2 + 1
+    return pieces.where("opened IS NULL").unionByName(again).select(
+        "doc_id", "piece", "start", "length", "ids_crc32",
+        F.when(F.col("opened"), joined).otherwise(closed).alias("sequence_id"), F.col("at").alias("offset"),
+        *(["ids"] if keep_ids else []))
+
+
+def _nullable_frame(run):
+    return lambda frame: run(frame).assign(doc_id=lambda f: f["doc_id"].astype("Int64"))
 
 
 def _nullable(run):
