@@ -147,6 +147,6 @@ def test_run_metrics(spark, run):
     root, _ = run
     counts = {r.step: r.n_rows for r in spark.read.parquet(str(root / "tables" / "run_metrics")).collect()}
     assert counts == {
-        "meter_days_read": 365, "meter_days_rejected": 0, "hours_expanded": 8760, "hours_unparsed": 0,
+        "meter_days_read": 365, "meter_days_rejected": 0, "hours_expanded": 8760,
         "meter_hourly_written": 8760, "meter_daily_written": 366, "meter_monthly_written": 13,
     }
