@@ -172,7 +172,7 @@ def _pack(frames: Iterator) -> Iterator:
         texts = [t.encode().lower() for t in f["text"]]
         for s in batches([len(t) for t in texts]):
             h, first = labelled(Words(texts[s]))
-            yield pd.DataFrame({"node": f["node"].iloc[s], "packed": [zlib.compress(t, 1) for t in texts[s]],
+            yield pd.DataFrame({"node": f["node"].iloc[s], "keys": f["keys"].iloc[s], "packed": [zlib.compress(t, 1) for t in texts[s]],
                                 "profile": [profile(h[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]})
 
 
@@ -193,7 +193,7 @@ def _likely(rule: Near):
     """Pairs of some blocks of buckets: different components, profiles near enough."""
     least = rule.similarity - rule.margin
 
-    def of_block(nodes, parts, profiles, mine, theirs):
+    def of_block(nodes, parts, profiles, keys, key, mine, theirs):
         here, there = np.flatnonzero(mine), np.flatnonzero(theirs)
         known = profiles[there] != 0
         held = known.sum(axis=1)
@@ -204,20 +204,24 @@ def _likely(rule: Near):
                 equal = np.count_nonzero((profiles[there[other]] == own) & known[other], axis=1)
                 both = np.count_nonzero(known[other] & (own != 0), axis=1)
                 near = other[equal >= least * (held[other] + np.count_nonzero(own) - both)]
-                yield from ((nodes[i], nodes[j]) for j in there[near] if nodes[i] < nodes[j])
+                # A pair shares many buckets; it is named in that of its first common sketch.
+                common = keys[there[near]] == keys[i]
+                named = there[near][keys[i][common.argmax(axis=1)] == key] if len(near) else near
+                yield from ((nodes[i], nodes[j]) for j in named if nodes[i] < nodes[j])
 
     def run(frame):
         frame = frame.sort_values("block", kind="stable")
         nodes, parts = frame["node"].to_numpy(object), frame["component"].to_numpy(object)
         profiles = np.frombuffer(b"".join(frame["profile"]), dtype=np.uint8).reshape(-1, PROFILE)
-        own, row, column = (frame[c].to_numpy() for c in ("own", "row_block", "column_block"))
+        own, row, column, key = (frame[c].to_numpy() for c in ("own", "row_block", "column_block", "key"))
+        keys = np.stack(frame["keys"].to_list())
         out = set()
         for f, n in zip(*runs(frame["block"].to_numpy()), strict=True):
             s = slice(f, f + n)
             mine, theirs = own[s] == row[s], own[s] == column[s]
-            out.update(of_block(nodes[s], parts[s], profiles[s], mine, theirs))
+            out.update(of_block(nodes[s], parts[s], profiles[s], keys[s], key[f], mine, theirs))
             if row[f] != column[f]:  # a pair is named from its lesser node, whichever block that is in
-                out.update(of_block(nodes[s], parts[s], profiles[s], theirs, mine))
+                out.update(of_block(nodes[s], parts[s], profiles[s], keys[s], key[f], theirs, mine))
         return pd.DataFrame(sorted(out), columns=["a", "b"])
     return run
 
@@ -249,11 +253,11 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     shared = checkpoint(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"))
     members = checkpoint(keyed.join(shared, "key"))
     firsts = members.select("node").distinct().join(texts, "node").select(
-        "node", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
+        "node", "keys", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
     packed = checkpoint(
         rows.join(firsts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_hash") == F.col("hash")))
-        .dropDuplicates(["node"]).select("node", "text")
-        .mapInPandas(_pack, "node binary, packed binary, profile binary"))
+        .dropDuplicates(["node"]).select("node", "keys", "text")
+        .mapInPandas(_pack, "node binary, keys array<bigint>, packed binary, profile binary"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         left = packed.select(F.col("node").alias("a"), F.col("packed").alias("left"))
@@ -271,7 +275,7 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     labels = components(links)
     # Blocks are dealt out by their hash, many small ones in a call.
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    apart = _apart(members, labels, rule).join(packed.select("node", "profile"), "node").withColumn(
+    apart = _apart(members, labels, rule).join(packed.select("node", "keys", "profile"), "node").withColumn(
         "block", F.xxhash64("key", "row_block", "column_block")).withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
     likely = (
         apart.groupBy("part").applyInPandas(_likely(rule), "a binary, b binary").distinct()
