@@ -491,3 +491,20 @@ def test_scores_of_odd_rows(documents):
     unknown = context_mixing.score(docs, none, words).collect()
     assert {r["n_known"] for r in unknown} == {0} and {r["train_tokens"] for r in unknown} == {0}
     assert context_mixing.score(documents([]), model, words).collect() == []
+
+
+def test_contexts_are_counted_exactly_however_many_there_are(shared, documents, monkeypatch):
+    """A fixed table would take some of these contexts for others; none may, and chunks give what the whole model gives."""
+    rng = random.Random(8)
+    rows = [(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(400))) for i in range(120)]
+    docs = documents(rows)
+    model, words = context_mixing.train(docs)
+    raw = [t.encode() for _, t in rows]
+    symbols = context_mixing.Symbols(raw)
+    assert model.counts.select("context").distinct().count() == len(np.unique(np.concatenate(symbols.contexts))) > 400_000
+    other = context_mixing.Symbols(["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=200_000)).encode()])
+    assert (model.tables[2].places(symbols.contexts[2]) > 0).all() and (model.tables[2].places(other.contexts[2][20:]) == 0).all()
+    monkeypatch.setattr(context_mixing, "CHUNK", 20_000)
+    got = {r["doc_id"]: r["bits_per_byte"] for r in context_mixing.score(docs, model, words).collect()}
+    for (i, _), t, want in zip(rows, raw, -context_mixing.mixed_log2(model, raw), strict=True):
+        assert got[i] == pytest.approx(want / (len(t) + 1), rel=1e-4)
