@@ -2,8 +2,9 @@
 
 Each half of a vector has a codebook of its own; the products of both are the
 cells of a grid.  A vector is filed in its nearest cell and looks for partners
-in the cells that are nearest to it by the sum of both distances, as many as a
-sample needs for the wanted recall.  What it meets there is verified exactly.
+in the cells that are nearest to it by the sum of both distances, as many as
+partners at the least similarity need for the wanted recall.  What it meets
+there is verified exactly.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from gridtally.llm.common import checkpoint, components, ship
 
 @dataclass(frozen=True)
 class Grid:
-    """``recall`` is aimed at on ``queries`` sampled vectors against all rows; codebooks are fitted on
-    ``per_centroid`` sampled vectors for each centroid.  The number of centroids follows the number of vectors, so that
+    """``recall`` is aimed at on ``queries`` sampled vectors, for partners planted at the least similarity and for their
+    links to all rows; codebooks are fitted on ``per_centroid`` other sampled vectors for each centroid.  The number of centroids follows the number of vectors, so that
     a cell holds ``occupancy`` of them on average, up to ``centroids``.  Blocks of a cell have at most ``block``
     vectors on each side, whatever the cell holds.
     """
@@ -56,6 +57,10 @@ def _codebook(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centers
 
 
+#: Partners planted for each sampled vector.
+PLANTED = 8
+
+
 @dataclass(frozen=True)
 class Index:
     """Codebooks of both halves, the number of cells to visit, and the recall and number of links it was chosen by."""
@@ -120,19 +125,47 @@ def _unit(frames: Iterator) -> Iterator:
         yield pd.DataFrame({"node": f["node"], "copies": f["copies"], "unit": out, "size": f["e"].map(len)})
 
 
+def _planted(index: Index, queries: np.ndarray, rule: Grid) -> np.ndarray:
+    """For partners at the least similarity in random directions, the visits after which one of both finds the other."""
+    rng, out = np.random.default_rng(queries.shape[1]), []
+    here = index.own_cells(queries)
+    for _ in range(PLANTED):
+        aside = rng.normal(size=queries.shape)
+        aside -= (aside * queries).sum(1)[:, None] * queries
+        aside /= np.sqrt((aside * aside).sum(1))[:, None]
+        partners = rule.similarity * queries + np.sqrt(1 - rule.similarity**2) * aside
+        there = index.own_cells(partners)
+        out += [min(index.ranks(q, t)[0], index.ranks(p, h)[0])
+                for q, p, h, t in zip(queries, partners, here[:, None], there[:, None], strict=True)]
+    return np.array(out)
+
+
+def _reaching(ranks: np.ndarray, weights: np.ndarray, recall: float) -> int:
+    """The least rank up to which the weights have this share."""
+    order = ranks.argsort(kind="stable")
+    share = np.cumsum(weights[order]) / weights.sum()
+    return int(ranks[order][min(np.searchsorted(share, recall), len(order) - 1)])
+
+
 def build_index(nodes: DataFrame, rule: Grid, count: int, size: int) -> Index:
-    """Codebooks from a bounded sample, and the visits that reach the wanted recall on sampled queries."""
+    """Codebooks from a bounded sample, and the visits that reach the wanted recall on sampled queries.
+
+    The recall is reached both for planted partners, which need no links in the data, and for the links of the queries,
+    where each query that has any counts once.  The queries are the last of the sample: codebooks lie nearer to what
+    they were fitted on.
+    """
     k = max(1, min(rule.centroids, int(np.ceil(np.sqrt(count / rule.occupancy)))))
-    wanted = max(rule.per_centroid * k, rule.queries)
-    rows = nodes.where(F.col("size") == size).orderBy(F.xxhash64("node"), "node").limit(wanted).select("unit").collect()
-    sample = np.array([np.frombuffer(r["unit"], dtype="<f8") for r in rows])
+    fitted = max(rule.per_centroid * k, rule.queries)
+    rows = nodes.where(F.col("size") == size).orderBy(F.xxhash64("node"), "node").limit(fitted + rule.queries).select("unit").collect()
+    every = np.array([np.frombuffer(r["unit"], dtype="<f8") for r in rows])
+    sample, queries = every[:fitted], every[-rule.queries:]
     half = (size + 1) // 2
     k = min(k, len(sample))
     index = Index(_codebook(sample[:, :half], k), _codebook(sample[:, half:], k) if half < size else np.zeros((1, 0)))
-    queries = sample[:rule.queries]
+    query_cells = index.own_cells(queries)
 
     def ranked(frames: Iterator) -> Iterator:
-        found: dict[int, int] = {}
+        found: dict[tuple[int, int], int] = {}
         for f in frames:
             f = f[f["size"] == size]
             if not len(f):
@@ -140,25 +173,30 @@ def build_index(nodes: DataFrame, rule: Grid, count: int, size: int) -> Index:
             x = _matrix(f["unit"])
             cells = index.own_cells(x)
             near = queries @ x.T
-            for q in np.flatnonzero((near >= rule.similarity).any(axis=1)):
-                hit = (near[q] >= rule.similarity) & (near[q] < 1 - 1e-12)  # not itself
-                if hit.any():
-                    own, n = np.unique(cells[hit], return_counts=True)
-                    for rank, m in zip(index.ranks(queries[q], own).tolist(), n.tolist(), strict=True):
-                        found[rank] = found.get(rank, 0) + m
-        yield pd.DataFrame(list(found.items()), columns=["rank", "n"])
-
-    # A row per rank that occurs: as many as there are cells at most.
-    ranks = nodes.select("unit", "size").mapInPandas(ranked, "rank bigint, n bigint").groupBy("rank").agg(
-        F.sum("n").alias("n")).orderBy("rank").collect()
-    total, seen = sum(r["n"] for r in ranks), 0
-    visits = rule.least_cells
-    for r in ranks:
-        if seen >= rule.recall * total:
-            break
-        seen, visits = seen + r["n"], max(visits, r["rank"])
-    got = sum(r["n"] for r in ranks if r["rank"] <= visits)
-    return Index(index.left, index.right, int(visits), got / total if total else 1.0, int(total))
+            hit = (near >= rule.similarity) & (near < 1 - 1e-12)  # not itself
+            rank = np.zeros(hit.shape, dtype=np.int64)
+            for q in np.flatnonzero(hit.any(axis=1)):
+                own, at = np.unique(cells[hit[q]], return_inverse=True)
+                rank[q, hit[q]] = index.ranks(queries[q], own)[at]
+            for j in np.flatnonzero(hit.any(axis=0)):
+                own, at = np.unique(query_cells[hit[:, j]], return_inverse=True)
+                rank[hit[:, j], j] = np.minimum(rank[hit[:, j], j], index.ranks(x[j], own)[at])
+            for q in np.flatnonzero(hit.any(axis=1)):
+                for r, m in zip(*(v.tolist() for v in np.unique(rank[q, hit[q]], return_counts=True)), strict=True):
+                    found[q, r] = found.get((q, r), 0) + m
+        yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["q", "rank", "n"])
+
+    # A row per query and rank that occurs.
+    links = nodes.select("unit", "size").mapInPandas(ranked, "q int, rank bigint, n bigint").groupBy("q", "rank").agg(
+        F.sum("n").alias("n")).orderBy("q", "rank").collect()
+    q, ranks, n = np.array([tuple(r) for r in links], dtype=np.int64).reshape(-1, 3).T
+    weighed = [(ranks, n / np.bincount(q, n)[q])] if len(links) else []
+    if size > 1:  # one component leaves no direction
+        planted = _planted(index, queries, rule)
+        weighed.append((planted, np.ones(len(planted))))
+    visits = max([rule.least_cells, *(_reaching(r, w, rule.recall) for r, w in weighed)])
+    got = min([1.0, *(float(w[r <= visits].sum() / w.sum()) for r, w in weighed)])
+    return Index(index.left, index.right, visits, got, int(n.sum()))
 
 
 def _file(index: Index, size: int):

@@ -187,6 +187,24 @@ def test_forest_connects_what_the_links_connect():
         assert classes(nodes, edges) == classes(nodes, forest) and all(link[i, j] for (_, i), (_, j) in forest)
 
 
+def unit(x):
+    return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+
+@pytest.mark.parametrize("copies", [0, 400])
+def test_rare_pairs_are_found_with_and_without_a_tight_group(shared, copies):
+    """Pairs just above the threshold, so few that the sampled vectors have hardly a link, or one group has them all."""
+    rng = np.random.default_rng(6)
+    x = unit(rng.normal(size=(8000, 64)))
+    aside = rng.normal(size=(100, 64))
+    aside = unit(aside - (aside * x[:100]).sum(1)[:, None] * x[:100])
+    pairs = 0.955 * x[:100] + np.sqrt(1 - 0.955**2) * aside
+    group = unit(x[-1] + rng.normal(scale=0.001, size=(copies, 64)))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, group]))] + [(20_000 + i, v.tolist()) for i, v in enumerate(pairs)]
+    got = {r["vec_id"]: r["n_links"] for r in near(shared, rows, multi_index.Grid(queries=128))}
+    assert sum(got[20_000 + i] == 1 for i in range(100)) >= 98
+
+
 def test_vector_odd_rows(shared):
     big = [3e38] * 8
     rows = [(1, None), (2, []), (3, [0.0] * 4), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0, 2.0]), (7, [1.0, 2.0]),
