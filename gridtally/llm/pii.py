@@ -36,14 +36,12 @@ HINTS = {"email": "@", "ip": r"[0-9][.][0-9]++[.][0-9]++[.][0-9]", "card": r"[0-
 class Disclosure:
     """When a word counts as giving an entity away.
 
-    ``generalise`` and ``remove`` are shares of the entity's information content that the word must carry;
-    ``contexts`` is the least number of different surroundings in which both stand together, so that copies of one
-    text count once; ``reach`` is how many characters on each side of an entity are its surroundings.
+    ``generalise`` and ``remove`` are shares of the entity's information content that the word must carry; ``reach`` is
+    how many characters on each side of an entity are its surroundings.
     """
 
     generalise: float = 0.85
     remove: float = 0.95
-    contexts: int = 3
     reach: int = 80
 
 
@@ -157,7 +155,10 @@ def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFr
     """(term, share, kinds): words that reveal a protected entity, the largest share of its information they carry.
 
     ``docs`` has the columns of ``base_spans``.  With N documents, n(e) that mention the entity, n(t) that hold the
-    word and n(e, t) where it stands beside the entity, the share is log(N n(e,t) / (n(e) n(t))) / log(N / n(e)).
+    word and n(e, t) where it stands beside the entity, the share is log(N p / n(e)) / log(N / n(e)).  p is how often
+    the word tells the entity when one surrounding, with all its copies, is left out to be told by the others: of c
+    different surroundings, p = (n(e,t) - n(e,t)/c) / (n(t) - n(e,t)/c).  Two are enough if the word stands nowhere
+    else; of a single one nothing is left, p is 0 and the word discloses nothing.
     """
     mentions = checkpoint(_mentions(docs, rule))  # read twice below; the patterns are dear
     per_entity = mentions.groupBy("entity").agg(F.count("*").alias("n_e"))
@@ -165,16 +166,18 @@ def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFr
         mentions.select("entity", "context", F.explode("near").alias("term"))
         .groupBy("entity", "term", "context").agg(F.count("*").alias("n"))
         .groupBy("entity", "term").agg(F.sum("n").alias("n_et"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= rule.contexts)
+        .where(F.col("contexts") > 1)  # p is 0 otherwise
         .join(per_entity, "entity")
     )
     pairs = checkpoint(pairs)
     rows = pairs.count()
-    if not rows:  # no word stands beside one entity often enough: the counts over all words would be of nothing
+    if not rows:  # p is 0 for all: the counts over all words would be of nothing
         return docs.sparkSession.createDataFrame([], "term string, share double")
     frequency = _holding(docs, pairs, rows).groupBy("term").agg(F.count("*").alias("n_t"))
     size = F.lit(float(docs.count()))
-    carried = F.ln(size * F.col("n_et") / (F.col("n_e") * F.greatest("n_t", "n_et")))
+    left_out = F.col("n_et") / F.col("contexts")
+    p = (F.col("n_et") - left_out) / (F.greatest("n_t", "n_et") - left_out)
+    carried = F.ln(size * p / F.col("n_e"))
     whole = F.ln(size / F.col("n_e"))
     return (
         pairs.join(frequency, "term")

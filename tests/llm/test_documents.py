@@ -249,6 +249,21 @@ def test_terms_that_disclose_an_entity(documents):
     assert not any("term" in s for s in spans(documents([(i, t[0]) for i in range(12)] + telling()[12:])).values())
 
 
+def test_two_surroundings_disclose_and_one_does_not(documents):
+    rows = [(i, text(300 + i, 40) + " write to") for i in range(300)]
+    rows += [(900 + i, f"{text(700 + i, 15)} write to Quibbelor, call +1 (386) 555-3733 or {text(800 + i, 15)}") for i in range(2)]
+    rows += [(950, f"{text(750, 15)} write to Wimblent, call +1 (386) 555-4844 or {text(850, 15)}")]
+    rows += [(960 + i, f"{text(760 + i, 15)} ask Ostrafel, mail of@corp.example {text(860 + i, 15)}") for i in range(2)]
+    rows += [(970 + i, f"{text(770 + i, 15)} Ostrafel") for i in range(40)]  # mostly elsewhere
+    got, t = spans(documents(rows)), dict(rows)
+
+    def marked(i, word):
+        at = t[i].index(word)
+        return f"term:{at}:{at + len(word)}" in got[i]
+    assert marked(900, "Quibbelor") and marked(901, "Quibbelor") and not marked(900, "write")
+    assert not marked(950, "Wimblent") and not marked(960, "Ostrafel") and not marked(975, "Ostrafel")
+
+
 def test_sanitised_texts(documents):
     rows = [(1, "mail zb@corp.example now 4111 1111 1111 1111"), (2, "call +1 (386) 555-3733!"), (3, None), (4, "nothing"), (4, "nothing")]
     docs = documents(rows).withColumnsRenamed({"lang": "email", "source": "term"})
