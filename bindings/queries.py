@@ -315,8 +315,15 @@ def raw_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(hours, path, order_by=HOUR_KEY)
     lines = spark.read.option("header", True).schema(hours.schema).csv(path).select(
         *HOUR_KEY, F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
-    place = F.row_number().over(Window.orderBy("file", "line"))  # the one total order that is to be shown
-    return lines.select(*HOUR_KEY, place.alias("place"))
+    return _numbered(lines).select(*HOUR_KEY, "place")
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """``lines`` with their place in order of file and line: within the file, after the rows of the files before."""
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    offsets = lines.groupBy("file").count().select("file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
+    within = F.row_number().over(Window.partitionBy("file").orderBy("line"))
+    return lines.withColumn("place", within).join(offsets, "file").withColumn("place", F.col("place") + F.col("offset")).drop("offset")
 
 
 def _in_order(df: DataFrame) -> DataFrame:

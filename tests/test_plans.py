@@ -5,6 +5,7 @@ import re
 import pytest
 from fixtures import two_meters_ramp
 
+from bindings.queries import _numbered
 from gridtally.operators.daily import aggregate_daily_measures
 from gridtally.operators.similarity import daily_load_similarity
 from gridtally.plans.pipeline import BuiltTables, daily_table, hourly_table, hours_with_time
@@ -90,3 +91,14 @@ def test_hourly_profile_needs_no_window(raw):
     """The lags are pruned away; the branch for oversized meters goes when there are none."""
     text = final_plan(REPORTS["hourly_profile_avg"](BuiltTables(raw)))
     assert "Window" not in text and "Union" not in text
+
+
+def test_rows_of_files_are_numbered_file_by_file(spark):
+    files = {"b": 3, "a": 5, "c": 1}
+    rows = [(name, 100 * i + 7) for name, n in files.items() for i in range(n)]
+    numbered = _numbered(spark.createDataFrame(rows, "file string, line bigint"))
+    assert [r["place"] for r in numbered.orderBy("file", "line").collect()] == list(range(1, 10))
+    text = plan(numbered)
+    for single in text.split("Exchange SinglePartition")[1:]:  # only the counts of files come together
+        assert "HashAggregate" in single.split("Scan")[0]
+    assert "row_number() windowspecdefinition(file#" in text and not re.search(r"row_number\(\) windowspecdefinition\(file#\d+ ASC", text)
