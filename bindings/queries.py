@@ -45,11 +45,12 @@ def working_folder(spark: SparkSession) -> str:
 
 
 def _kept(spark: SparkSession, result: DataFrame, root: str) -> DataFrame:
-    """The result without the files below ``root``, which go: it has a row per meter and month at most."""
-    rows, schema = result.collect(), result.schema
+    """The result, written to a folder of its own, without the files below ``root``, which go."""
+    own = working_folder(spark)
+    result.write.parquet(own)
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return spark.createDataFrame(rows, schema)
+    return spark.read.schema(result.schema).parquet(own)
 
 
 def _six(*names: str):

@@ -5,7 +5,7 @@ import re
 import pytest
 from fixtures import two_meters_ramp
 
-from bindings.queries import _numbered
+from bindings.queries import _kept, _numbered
 from gridtally.operators.daily import aggregate_daily_measures
 from gridtally.operators.similarity import daily_load_similarity
 from gridtally.plans.pipeline import BuiltTables, daily_table, hourly_table, hours_with_time
@@ -102,3 +102,13 @@ def test_rows_of_files_are_numbered_file_by_file(spark):
     for single in text.split("Exchange SinglePartition")[1:]:  # only the counts of files come together
         assert "HashAggregate" in single.split("Scan")[0]
     assert "row_number() windowspecdefinition(file#" in text and not re.search(r"row_number\(\) windowspecdefinition\(file#\d+ ASC", text)
+
+
+def test_results_outlive_their_tables_without_the_driver(spark, tmp_path, monkeypatch):
+    root = tmp_path / "root"
+    spark.range(7).write.parquet(str(root / "table"))
+    result = spark.read.parquet(str(root / "table"))
+    with monkeypatch.context() as m:
+        m.setattr(type(result), "collect", lambda self: pytest.fail("collected"))
+        kept = _kept(spark, result, str(root))
+    assert not root.exists() and sorted(r["id"] for r in kept.collect()) == list(range(7))
