@@ -1,4 +1,3 @@
-import datetime
 import os
 import sys
 
@@ -33,8 +32,3 @@ def session_zone(spark, request):
     spark.conf.set("spark.sql.session.timeZone", request.param)
     yield request.param
     spark.conf.set("spark.sql.session.timeZone", before)
-
-
-def dates(first: str, n: int) -> list[datetime.date]:
-    start = datetime.date.fromisoformat(first)
-    return [start + datetime.timedelta(days=i) for i in range(n)]
