@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, context_mixing, decontamination, multi_index, order_minhash, packing, pii, quality, substring_dedup, url_filters
+from gridtally.llm import chat, context_mixing, decontamination, merkle, multi_index, order_minhash, packing, pii, quality, substring_dedup, url_filters
 from gridtally.llm.common import id_bucket, table
 
 
@@ -126,8 +126,72 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(docs, model, words).withColumn("held_out", held_out)
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, checked against it; the text of every fifth one, by its id, was changed."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    done = merkle.manifest(docs, tampered=id_bucket(F.col("doc_id"), 5) == 0)
+    return done.withColumn("proof_sha256", merkle.proof_digest(F.col("path"))).drop("path")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii,
-        op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup, op10_lm_scoring)}
-ORACLES = {"op2_url_filters": OP2_SQL}
+        op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup, op10_lm_scoring,
+        op12_merkle_manifest)}
+
+def _merkle_sql(levels: int) -> str:
+    """The manifest level by level: lists of digests per run, each leaf folded with its own run's list."""
+    fields = ", ".join(
+        f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in merkle.FIELDS)
+    lowered = fields.replace("CAST(text AS VARCHAR)", f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')")
+    steps = []
+
+    def grow(name: str, nodes: str) -> None:
+        """CTEs ``{name}0`` to ``{name}{levels}`` (tree, idx, n, d) and the runs ``{name}r{k}`` (tree, idx, n, ds) of level k."""
+        steps.append(f"{name}0 AS ({nodes})")
+        for k in range(levels):
+            steps.append(f"{name}r{k} AS (SELECT tree, idx // {merkle.ARITY} AS idx, n, list(d ORDER BY idx) AS ds "
+                         f"FROM {name}{k} WHERE n > 1 GROUP BY tree, idx // {merkle.ARITY}, n)")
+            steps.append(f"{name}{k + 1} AS (SELECT tree, idx, (n + {merkle.ARITY - 1}) // {merkle.ARITY} AS n, "
+                         f"sha256(array_to_string(ds, '')) AS d FROM {name}r{k} UNION ALL SELECT * FROM {name}{k} WHERE n = 1)")
+
+    def fold(name: str, first: str, leaf_tree: str) -> str:
+        """CTEs that fold rows of ``first`` (tree, idx, f, proof, ...) through the runs of ``name``."""
+        before = first
+        for k in range(levels):
+            steps.append(f"""{name}f{k} AS (
+              SELECT a.* EXCLUDE (idx, f, proof), CASE WHEN r.ds IS NULL THEN a.idx ELSE a.idx // {merkle.ARITY} END AS idx,
+                CASE WHEN r.ds IS NULL THEN a.f ELSE sha256(array_to_string(
+                  list_transform(r.ds, lambda d, i: CASE WHEN i = a.idx % {merkle.ARITY} + 1 THEN a.f ELSE d END), '')) END AS f,
+                CASE WHEN r.ds IS NULL THEN a.proof ELSE a.proof || array_to_string(
+                  list_transform(r.ds, lambda d, i: CASE WHEN i = a.idx % {merkle.ARITY} + 1 THEN '' ELSE d END), '') END AS proof
+              FROM {before} a LEFT JOIN {name}r{k} r ON r.tree = a.{leaf_tree} AND r.idx = a.idx // {merkle.ARITY})""")
+            before = f"{name}f{k}"
+        return before
+
+    crc = ("xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, strlen(t) + 1), lambda i: ascii(t[i])::BIGINT), "
+           "lambda c, b: list_reduce([xor(c, b)] || list_transform(range(8), lambda z: z::BIGINT), "
+           "lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)")
+    steps.append(f"""leaves AS (
+      SELECT doc_id, coalesce('=' || source, '') AS tree, sha256(concat({fields})) AS leaf,
+             CASE WHEN {crc} % 5 = 0 THEN sha256(concat({lowered})) END AS now
+      FROM (SELECT *, CAST(doc_id AS VARCHAR) AS t FROM documents))""")
+    steps.append("""placed AS (
+      SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+             count(*) OVER (PARTITION BY tree) AS n FROM leaves)""")
+    grow("s", "SELECT tree, idx, n, leaf AS d FROM placed")
+    grow("t", f"""SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n, d, tree AS name
+                  FROM s{levels}""".replace(", tree AS name", ""))
+    steps.append(f"top AS (SELECT tree AS name, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM s{levels})")
+    steps.append("start AS (SELECT doc_id, leaf, tree, idx, coalesce(now, leaf) AS f, '' AS proof FROM placed)")
+    low = fold("s", "start", "tree")
+    steps.append(f"""rise AS (SELECT a.doc_id, a.leaf, '' AS tree, top.subroot, top.place AS idx, a.f, a.proof
+                             FROM {low} a JOIN top ON top.name = a.tree)""")
+    high = fold("t", "rise", "tree")
+    return f"""WITH {", ".join(steps)}
+      SELECT doc_id, leaf, subroot, (SELECT d FROM t{levels}) AS root, sha256(proof) AS proof_sha256,
+             f AS folded_root, f = (SELECT d FROM t{levels}) AS verified FROM {high}"""
+
+
+#: Four levels: sources of 65,536 documents at most, which the scales with SQL checks don't exceed.
+ORACLES = {"op2_url_filters": OP2_SQL, "op12_merkle_manifest": _merkle_sql(4)}
