@@ -7,7 +7,21 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import chat, context_mixing, decontamination, merkle, multi_index, order_minhash, packing, pii, quality, substring_dedup, url_filters
+from gridtally.llm import (
+    alignment,
+    chat,
+    context_mixing,
+    decontamination,
+    merkle,
+    multi_index,
+    order_minhash,
+    packing,
+    pieces,
+    pii,
+    quality,
+    substring_dedup,
+    url_filters,
+)
 from gridtally.llm.common import id_bucket, table
 
 
@@ -126,6 +140,14 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score(docs, model, words).withColumn("held_out", held_out)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with places in its text, and decoded again; ``covered_bytes`` are those that pieces stand for."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = pieces.decode(encoded)
+    return done.select("doc_id", "n_tokens", F.sha2("ids_bytes", 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"), "covered_bytes")
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the manifest, checked against it; the text of every fifth one, by its id, was changed."""
     docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
@@ -133,11 +155,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("proof_sha256", merkle.proof_digest(F.col("path"))).drop("path")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two vocabularies in groups that end together, and how often their links occur anywhere."""
+    return alignment.aligned_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_classifier, op2_url_filters, op3_substring_dedup, op4_chat_formatting, op5_pii,
         op6_minhash_near_dedup, op7_decontamination, op8_best_fit_packing, op9_embedding_near_dedup, op10_lm_scoring,
-        op12_merkle_manifest)}
+        op11_sentencepiece, op12_merkle_manifest, op13_tokenizer_alignment)}
 
 def _merkle_sql(levels: int) -> str:
     """The manifest level by level: lists of digests per run, each leaf folded with its own run's list."""
