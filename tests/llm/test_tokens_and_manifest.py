@@ -1,0 +1,298 @@
+"""SentencePiece encoding, tokenizer alignment and the manifest against the libraries and plain versions, and their odd inputs."""
+
+import hashlib
+import random
+import zlib
+from array import array
+from collections import Counter
+
+import pytest
+import sentencepiece
+from brute import sha
+from compare import duck, same
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from gridtally.llm import alignment, merkle, pieces, queries, tokens
+
+SF = "/root/testdata/sf0.001"
+MODEL, VOCABULARY = pieces.default_model(), tokens.default_vocabulary()
+
+ODD = ["", "a", " ", "  ", "\n", " \n", "a\n", "\n\n", "a\n\n", "a\n\n\nb", "a \n b", "\n a", "▁", "▁▁a", "a  ", " a", "the quick\n\nbrown", "\0",
+       "<s>", "</s> <0x41>", "<|endoftext|>", "it's  'll", "\t\tx", "x\r\ny", "x\x1cy"]
+LETTERS = [*"ab \n\t'", "  ", "▁", "é", "́", "ﬁ", "Ａ", "中", "😀", " ", "½", "㍿", "ﷺ", "한", "한", "​", "\x85",
+           "the ", "<s>", "<|endoftext|>", "<|", "123", " ."]
+
+
+def some_texts(n, seed=3):
+    at = random.Random(seed)
+    return ODD + ["".join(at.choice(LETTERS) for _ in range(at.randrange(1, 24))) for _ in range(n)]
+
+
+def whole(ids):
+    return array("I", ids).tobytes()
+
+
+def field(number, value):
+    """A bytes field of a protocol-buffer message."""
+    size, out = len(value), bytes([number << 3 | 2])
+    while size > 127:
+        out, size = out + bytes([size & 127 | 128]), size >> 7
+    return out + bytes([size]) + value
+
+
+@pytest.fixture(scope="module")
+def mapped_model(tmp_path_factory):
+    """The model with a compiled character map, squeezed spaces and a mapped normal form, as other models have."""
+    normaliser = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc").serialized_model_proto()
+    spec = next(v for n, v, _ in pieces._fields(normaliser) if n == 3)
+    with open(MODEL, "rb") as f:
+        rest = b"".join(w for n, _, w in pieces._fields(f.read()) if n != 3)
+    path = tmp_path_factory.mktemp("models") / "mapped.model"
+    path.write_bytes(rest + field(3, spec))
+    return str(path)
+
+
+# SentencePiece
+
+@pytest.fixture(params=["plain", "mapped"])
+def model(request, mapped_model):
+    return MODEL if request.param == "plain" else mapped_model
+
+
+def test_ids_spans_and_text_as_the_library(model):
+    library, own = sentencepiece.SentencePieceProcessor(model_file=model), pieces.Pieces(model)
+    texts = some_texts(2000)
+    normal = [own.normalise(t) for t in texts]
+    assert [n for n, _ in normal] == [library.normalize(t) for t in texts]
+    for text, (_, place), ids in zip(texts, normal, own.encode([n for n, _ in normal]), strict=True):
+        found = library.encode(text, out_type="serialized_proto")
+        parts = [{n: v for n, v, _ in pieces._fields(p)} for number, p, _ in pieces._fields(found) if number == 2]
+        assert ids == whole([p.get(2, 0) for p in parts]), text
+        begins, ends = own.spans(ids, place)
+        assert list(zip(begins.tolist(), ends.tolist(), strict=True)) == [(p.get(4, 0), p.get(5, 0)) for p in parts], text
+        assert own.decode(array("I", ids).tolist()) == library.decode(array("I", ids).tolist())
+
+
+def test_any_ids_decode_as_the_library(model):
+    library, own, at = sentencepiece.SentencePieceProcessor(model_file=model), pieces.Pieces(model), random.Random(5)
+    few = [0, 1, 2, *range(3, 259), 29871, 263, 278]
+    for _ in range(3000):
+        ids = [at.choice(few) if at.random() < 0.7 else at.randrange(32000) for _ in range(at.randrange(8))]
+        assert own.decode(ids) == library.decode(ids), ids
+
+
+def test_longest_prefix_and_places_in_the_source(mapped_model):
+    own = pieces.Pieces(mapped_model)
+    normal, place = own.normalise("  ﬁ　Ａé  x ")
+    assert normal == "▁fi▁Aé▁x"
+    # Bytes 2 to 4 are the ligature, 5 to 7 the wide space, 8 to 10 the wide letter, 11 to 13 e and its accent.
+    assert place.tolist() == [2, 2, 2, 2, 2, 5, 5, 5, 8, 11, 11, 14, 14, 14, 16, 17]
+
+
+def test_models_that_are_not_supported(tmp_path):
+    with open(MODEL, "rb") as f:
+        fields = list(pieces._fields(f.read()))
+    kept = b"".join(w for n, v, w in fields if not (n == 1 and any(a == 3 and b == pieces.BYTE for a, b, _ in pieces._fields(v))))
+    (tmp_path / "m").write_bytes(kept)
+    with pytest.raises(ValueError, match="byte"):
+        pieces.Pieces(str(tmp_path / "m"))
+
+
+def test_op11_against_the_library(shared, sample):
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    got = {r["doc_id"]: r for r in queries.op11_sentencepiece(shared, SF).collect()}
+    rows = sample.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        ids, own = library.encode(r["text"], add_bos=True, add_eos=True), got[r["doc_id"]]
+        assert (own["n_tokens"], own["ids_sha256"]) == (len(ids), hashlib.sha256(whole(ids)).hexdigest())
+        assert own["decoded_sha256"] == sha(library.decode(ids)) and own["covered_bytes"] == len(r["text"].encode())
+
+
+def test_op11_odd_rows(shared):
+    docs = shared.createDataFrame(
+        [(1, None, "x"), (1, "", "x"), (None, "ab ab", "y"), (None, "ab ab", "y"), (2, "word " * 200_000, "z")],
+        "doc_id bigint, text string, ids string")
+    rows = pieces.encode(docs).collect()
+    assert sorted((r["doc_id"] or 0, len(r["ids"])) for r in rows)[:4] == [(0, 4), (0, 4), (1, 2), (1, 2)]
+    assert all(r["begins"][0] == r["ends"][0] == 0 and r["begins"][-1] == r["ends"][-1] for r in rows)
+    long = next(r for r in rows if r["doc_id"] == 2)
+    assert long["ends"][-1] == 1_000_000 and sum(long["ends"]) - sum(long["begins"]) == 1_000_000
+    back = {r["doc_id"]: r for r in pieces.decode(pieces.encode(docs, spans=False)).collect()}
+    assert back[2]["text"] == "word " * 200_000 and back[None]["text"] == "ab ab" and back[1]["text"] == ""
+    assert back[2]["covered_bytes"] is None
+    assert pieces.decode(pieces.encode(docs.limit(0))).collect() == []
+    assert pieces.decode(shared.createDataFrame([(1, None)], "doc_id bigint, ids array<int>")).first()["text"] == ""
+
+
+# Words of the byte-level vocabulary
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_words_between_spaces_and_line_feeds(plain, sample):
+    own, library = tokens.Encoder(VOCABULARY, plain), Tokenizer.from_file(VOCABULARY)
+    library.encode_special_tokens = plain
+    texts = some_texts(4000) + [r["text"] for r in sample.collect()]
+    for some in (texts, [" " + t for t in texts]):
+        assert own.many(some) == [whole(e.ids) for e in library.encode_batch(some, add_special_tokens=False)]
+
+
+# Alignment
+
+def aligned_plainly(docs):
+    """doc -> the query's columns, by looking for common ends."""
+    a_side, b_side = Tokenizer.from_file(VOCABULARY), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    a_side.encode_special_tokens = True
+    letters, found, counts = alignment._byte_letters(), {}, Counter()
+    for doc, text in docs:
+        a = a_side.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = b_side.encode(text) if text else []
+        a_bytes = [bytes(letters[c] for c in a_side.id_to_token(i)) for i in a]
+        b_bytes = [bytes([int(b_side.id_to_piece(i)[3:5], 16)]) if b_side.is_byte(i) else
+                   b_side.id_to_piece(i).replace("▁", " ").encode() for i in b]
+        if not text or not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+            found[doc] = ([], [], [], [])
+            continue
+        ends = []
+        for side in (a_bytes, b_bytes):
+            at, places = 0, {}
+            for i, t in enumerate(side):
+                at += len(t)
+                places[at] = i
+            ends.append(places)
+        groups, links, p, q = [], [], 0, 0
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            i, j = ends[0][end], ends[1][end]
+            groups.append(",".join(map(str, a[p:i + 1])) + "|" + ",".join(map(str, b[q:j + 1])))
+            links.append((a[i], b[j]))
+            p, q = i + 1, j + 1
+        counts.update(links)
+        found[doc] = (a, b, groups, links)
+    best = Counter()
+    for (_, j), n in counts.items():
+        best[j] = max(best[j], n)
+    return {doc: (len(a), len(b), len(g), len(k), sum(counts[p] == best[p[1]] for p in k), sum(counts[p] for p in k),
+                  sha(";".join(g)) if g else "") for doc, (a, b, g, k) in found.items()}
+
+
+def aligned_columns(df):
+    return {r["doc_id"]: (r["n_a"], r["n_b"], r["n_groups"], r["n_links"], r["n_best"], r["count_sum"], r["groups_sha256"])
+            for r in df.collect()}
+
+
+def test_op13_against_a_plain_version(shared, sample):
+    docs = [(r["doc_id"], r["text"]) for r in sample.collect()]
+    assert aligned_columns(queries.op13_tokenizer_alignment(shared, SF)) == aligned_plainly(docs)
+
+
+def test_alignment_of_odd_texts(shared):
+    docs = list(enumerate(some_texts(300, seed=9) + ["the the the", "the the the"])) + [(-1, None), (-2, "x" * 3000), (-3, "中" * 500)]
+    frame = shared.createDataFrame([(i, t, "x") for i, t in docs], "doc_id bigint, text string, pairs string")
+    assert aligned_columns(alignment.aligned_documents(frame)) == aligned_plainly(docs)
+    assert alignment.aligned_documents(frame.limit(0)).collect() == []
+    twice = shared.createDataFrame([(None, "one two"), (None, "one two"), (4, "▁")], "doc_id bigint, text string")
+    rows = alignment.aligned_documents(twice).collect()
+    assert sorted((r["doc_id"] or 0, r["n_links"], r["count_sum"]) for r in rows) == [(0, 2, 4), (0, 2, 4), (4, 0, 0)]
+
+
+def test_terminals_of_long_chains():
+    """Ends that never meet but at the last byte: one component, found by doubling."""
+    import numpy as np
+
+    n = 5000
+    a_ends = np.append(np.arange(2, 2 * n, 2), 2 * n + 1)
+    b_ends = np.append(np.arange(1, 2 * n, 2), 2 * n + 1)
+    a, b, a_last, b_last = alignment.terminals(a_ends, b_ends)
+    assert set(a) == set(b) == {len(b_ends) - 1} and a_last.tolist() == [len(a_ends) - 1] and b_last.tolist() == [len(b_ends) - 1]
+    a, b, _, last = alignment.terminals(np.array([1, 3, 5]), np.array([2, 3, 4, 5]))
+    assert (a.tolist(), b.tolist(), last.tolist()) == ([1, 1, 3], [1, 1, 3, 3], [1, 3])
+
+
+def test_every_link_has_a_number():
+    pairs = alignment.PairNumbers([b"ab", b"b", b"c"], [b"b", b"xab", b"d"])
+    assert [(k // 3, k % 3) for k in pairs.keys.tolist()] == [(0, 0), (0, 1), (1, 0), (1, 1)]
+
+
+# Manifest
+
+def H(*parts):
+    return sha("".join(parts))
+
+
+def manifest_plainly(rows, arity=16):
+    """Sorted results of rows (doc_id, source, lang, n_chars, text)."""
+    def leaf(row, text):
+        values = [None if v is None else str(v) for v in (*row[:4], text)]
+        return H(*["-" if v is None else f"{len(v.encode())}:{v}" for v in values])
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([H(*out[-1][i:i + arity]) for i in range(0, len(out[-1]), arity)])
+        return out
+
+    def path(tree, i):
+        for nodes in tree[:-1]:
+            first = i - i % arity
+            yield nodes[first:i], nodes[i + 1:first + arity]
+            i //= arity
+
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    trees, members = [], []
+    for s in sources:
+        own = sorted(((r[0] is not None, r[0] or 0, leaf(r, r[4])), r) for r in rows if r[1] == s)
+        members.append([r for _, r in own])
+        trees.append(levels([k[2] for k, _ in own]))
+    top = levels([t[-1][0] for t in trees]) if trees else []
+    out = []
+    for k, (tree, own) in enumerate(zip(trees, members, strict=True)):
+        for i, r in enumerate(own):
+            lowered = r[4] is not None and r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0
+            text = "".join(c.lower() if "A" <= c <= "Z" else c for c in r[4]) if lowered else r[4]
+            fold, proof = leaf(r, text), ""
+            for left, right in [*path(tree, i), *path(top, k)]:
+                proof += "".join(left + right)
+                fold = H(*left, fold, *right)
+            root = top[-1][0]
+            out.append((r[0], tree[0][i], tree[-1][0], root, sha(proof), fold, fold == root))
+    return sorted(out, key=str)
+
+
+def manifest_rows(docs, **options):
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    done = merkle.manifest(docs, tampered=hit, **options)
+    return sorted(((r["doc_id"], r["leaf"], r["subroot"], r["root"], r["p"], r["folded_root"], r["verified"])
+                   for r in done.withColumn("p", merkle.proof_digest(F.col("path"))).collect()), key=str)
+
+
+def test_op12_against_sql(shared):
+    assert same(queries.op12_merkle_manifest(shared, SF), duck(SF), queries.ORACLES["op12_merkle_manifest"]) is None
+
+
+@pytest.mark.parametrize("arity", [2, 3, 16])
+def test_manifest_against_a_plain_version(shared, arity):
+    at = random.Random(arity)
+    rows = [(i, at.choice(["a", "a", "a", "a", "b", "", "é"]), "en", 3, at.choice(["Abc", "x", ""])) for i in range(150)]
+    rows += [(500, "lone", None, None, None), (None, None, None, None, None), (None, None, None, None, None),
+             (7, None, "en", -1, "T"), (7, None, "en", -1, "T"), (7, None, "EN", -1, "T"), (None, "a", "en", 1, "Q")]
+    docs = shared.createDataFrame(rows, "doc_id bigint, source string, lang string, n_chars bigint, text string")
+    assert manifest_rows(docs.repartition(5), arity=arity, partitions=4) == manifest_plainly(rows, arity)
+
+
+def test_manifest_of_little(shared):
+    schema = "doc_id bigint, source string, lang string, n_chars bigint, text string, tree string, idx string, digest string, n string"
+    one = (1, "s", "en", 1, "T", "x", "x", "x", "x")
+    assert manifest_rows(shared.createDataFrame([one], schema)) == manifest_plainly([one[:5]])
+    assert manifest_rows(shared.createDataFrame([], schema)) == []
+    long = (2, "s", "en", 1, "Long " * 100_000, "x", "x", "x", "x")
+    assert manifest_rows(shared.createDataFrame([one, long], schema)) == manifest_plainly([one[:5], long[:5]])
+
+
+def test_no_task_gets_a_whole_source(shared):
+    """A source of nearly all rows, equal ones among them, is numbered in all partitions."""
+    rows = shared.range(4000).selectExpr("'a' AS tree", "IF(id < 2000, 1, id) AS k").coalesce(1)
+    done = merkle.numbered(rows, "tree", ["k"], partitions=8)
+    assert sorted(r["idx"] for r in done.collect()) == list(range(4000))
+    sizes = [r["count"] for r in done.groupBy(F.floor(F.col("idx") / 1000)).count().collect()]
+    assert sizes == [1000] * 4
+    assert done.where("n <> 4000").isEmpty() and done.where("k > 1 AND idx <> k").isEmpty()
