@@ -11,7 +11,7 @@ from __future__ import annotations
 import functools
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -311,12 +311,20 @@ def int_lists(chunks: list):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32)))
 
 
-def encode(docs: DataFrame, model: str | None = None, bos: bool = True, eos: bool = True, spans: bool = True) -> DataFrame:
-    """One row per document: (doc_id, ids, begins, ends); the places are bytes of the text in UTF-8, ``ends`` exclusive.
+#: What ``encode`` can give for a document, and its type.
+OUTPUTS = {"n_tokens": "bigint", "ids": "array<int>", "begins": "array<int>", "ends": "array<int>", "ids_bytes": "binary",
+           "decoded": "string", "covered_bytes": "bigint"}
 
-    The ids are those of the sentencepiece library without sampling.  Begin and end ids have empty spans at the text's ends.
-    The first piece of a text holds the blank that the normaliser adds, which covers no byte.  A character in byte pieces is
-    covered by the last of them.  ``spans=False`` leaves ``begins`` and ``ends`` out.
+
+def encode(docs: DataFrame, model: str | None = None, bos: bool = True, eos: bool = True,
+           outputs: Sequence[str] = ("ids", "begins", "ends")) -> DataFrame:
+    """One row per document: doc_id and the named ``outputs``.
+
+    ``ids`` are those of the sentencepiece library without sampling; ``begins`` and ``ends`` are the bytes of the text in UTF-8 that
+    each stands for, the end exclusive.  Begin and end ids have empty spans at the text's ends.  The first piece of a text holds
+    the blank that the normaliser adds, which covers no byte.  A character in byte pieces is covered by the last of them.
+    ``n_tokens`` counts the ids, ``ids_bytes`` are they as little-endian unsigned 32-bit numbers, ``decoded`` is their text as
+    the library decodes them and ``covered_bytes`` the length of all spans together.
 
     Null and empty texts have begin and end ids alone.  Repeated rows are encoded each, null ids kept; an empty table gives no
     row.  Other columns are not read.  Texts of any length are encoded whole.
@@ -332,53 +340,40 @@ def encode(docs: DataFrame, model: str | None = None, bos: bool = True, eos: boo
         before, after = own.bos if bos else b"", own.eos if eos else b""
         for batch in (part for whole in batches for part in by_chars(whole)):
             texts = batch["text"].to_pylist()
-            if spans or own.map:
-                normal, places = zip(*map(own.normalise, texts), strict=True)
-            else:
-                normal = [own.normalise(t)[0] for t in texts]
+            normal, places = zip(*map(own.normalise, texts), strict=True)
             bodies = own.encode(list(normal))
-            columns = [batch["doc_id"], int_lists([np.frombuffer(before + b + after, "<u4") for b in bodies])]
-            if spans:
-                found = [own.spans(b, p) for b, p in zip(bodies, places, strict=True)]
-                n0, n1 = [0] * (len(before) // 4), len(after) // 4
-                ends = [[len(t.encode())] * n1 for t in texts]
-                for side in (0, 1):
-                    columns.append(int_lists([np.concatenate([n0, f[side], e]) for f, e in zip(found, ends, strict=True)]))
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "begins", "ends"][:len(columns)])
-
-    schema = "doc_id bigint, ids array<int>" + (", begins array<int>, ends array<int>" if spans else "")
+            ids = [np.frombuffer(before + b + after, "<u4") for b in bodies]
+            spans = [own.spans(b, p) for b, p in zip(bodies, places, strict=True)]
+            at_ends = np.zeros(len(before) // 4, np.int32), np.ones(len(after) // 4, np.int32)
+            side = lambda k: int_lists([np.concatenate([at_ends[0], s[k], at_ends[1] * len(t.encode())])
+                                        for s, t in zip(spans, texts, strict=True)])
+            make = {
+                "n_tokens": lambda: pa.array([len(i) for i in ids], pa.int64()),
+                "ids": lambda: int_lists(ids),
+                "begins": lambda: side(0),
+                "ends": lambda: side(1),
+                "ids_bytes": lambda: pa.array([i.tobytes() for i in ids], pa.binary()),
+                "decoded": lambda: pa.array([own.decode(i.tolist()) for i in ids], pa.string()),
+                "covered_bytes": lambda: pa.array([int((e - b).sum()) for b, e in spans], pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(make[c]() for c in outputs)], names=["doc_id", *outputs])
+
+    schema = ", ".join(["doc_id bigint", *(f"{c} {OUTPUTS[c]}" for c in outputs)])
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """``encoded`` (doc_id, ids, and begins and ends if they are there) as (doc_id, n_tokens, ids_bytes, text, covered_bytes).
-
-    ``text`` is the library's decoding of the ids, ``ids_bytes`` are they as little-endian unsigned 32-bit numbers,
-    ``covered_bytes`` is the length of all spans together, null without spans.  Null ids decode to an empty text.
-    """
+    """``encoded`` (doc_id, ids) as (doc_id, text): the library's decoding of the ids; null ids have an empty text."""
     ship(encoded.sparkSession)
-    path, spans = model or default_model(), ["begins", "ends"] if {"begins", "ends"} <= set(encoded.columns) else []
+    path = model or default_model()
 
     def run(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
         own = pieces(path)
         for batch in batches:
-            lists = batch["ids"]
-            flat, at = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            rows = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
-            covered = None
-            if spans:
-                sums = [np.append(0, np.cumsum(batch[s].values.to_numpy(zero_copy_only=False), dtype=np.int64))[batch[s].offsets.to_numpy()]
-                        for s in spans]
-                covered = np.diff(sums[1]) - np.diff(sums[0])
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(np.diff(at).astype(np.int64)), pa.array([r.tobytes() for r in rows], pa.binary()),
-                 pa.array([own.decode(r.tolist()) for r in rows], pa.string()),
-                 pa.nulls(len(rows), pa.int64()) if covered is None else pa.array(covered)],
-                names=["doc_id", "n_tokens", "ids_bytes", "text", "covered_bytes"])
-
-    lists = [F.coalesce(c, F.array().cast("array<int>")).alias(c) for c in ["ids", *spans]]
-    return encoded.select("doc_id", *lists).mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_bytes binary, text string, covered_bytes bigint")
+                [batch["doc_id"], pa.array([own.decode(i.as_py()) for i in batch["ids"]], pa.string())], names=["doc_id", "text"])
+
+    ids = F.coalesce("ids", F.array().cast("array<int>")).alias("ids")
+    return encoded.select("doc_id", ids).mapInArrow(run, "doc_id bigint, text string")

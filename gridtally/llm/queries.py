@@ -142,10 +142,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded with places in its text, and decoded again; ``covered_bytes`` are those that pieces stand for."""
-    encoded = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    done = pieces.decode(encoded)
+    done = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                         outputs=("n_tokens", "ids_bytes", "decoded", "covered_bytes"))
     return done.select("doc_id", "n_tokens", F.sha2("ids_bytes", 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"), "covered_bytes")
+                       F.sha2("decoded", 256).alias("decoded_sha256"), "covered_bytes")
 
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

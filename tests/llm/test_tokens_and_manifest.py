@@ -119,9 +119,11 @@ def test_op11_odd_rows(shared):
     assert all(r["begins"][0] == r["ends"][0] == 0 and r["begins"][-1] == r["ends"][-1] for r in rows)
     long = next(r for r in rows if r["doc_id"] == 2)
     assert long["ends"][-1] == 1_000_000 and sum(long["ends"]) - sum(long["begins"]) == 1_000_000
-    back = {r["doc_id"]: r for r in pieces.decode(pieces.encode(docs, spans=False)).collect()}
-    assert back[2]["text"] == "word " * 200_000 and back[None]["text"] == "ab ab" and back[1]["text"] == ""
-    assert back[2]["covered_bytes"] is None
+    back = {r["doc_id"]: r["text"] for r in pieces.decode(pieces.encode(docs, outputs=["ids"])).collect()}
+    assert back == {2: "word " * 200_000, None: "ab ab", 1: ""}
+    bare = pieces.encode(docs, bos=False, eos=False, outputs=list(pieces.OUTPUTS)).where("doc_id IS NULL").first()
+    assert bare["n_tokens"] == len(bare["ids"]) == 2 and bytes(bare["ids_bytes"]) == whole(bare["ids"])
+    assert (bare["decoded"], bare["covered_bytes"], bare["begins"], bare["ends"]) == ("ab ab", 5, [0, 2], [2, 5])
     assert pieces.decode(pieces.encode(docs.limit(0))).collect() == []
     assert pieces.decode(shared.createDataFrame([(1, None)], "doc_id bigint, ids array<int>")).first()["text"] == ""
 
