@@ -293,6 +293,7 @@ ORACLES: dict[str, str] = {
     "run_metrics": _with(
         """SELECT 'meter_days_read' AS step, (SELECT count(*) FROM meter_days) AS n_rows
            UNION ALL SELECT 'meter_days_rejected', (SELECT count(*) FROM meter_days WHERE short)
+           UNION ALL SELECT 'meter_days_unparsed', 0
            UNION ALL SELECT 'hours_expanded', (SELECT count(*) FROM hours)
            UNION ALL SELECT 'meter_hourly_written', (SELECT count(*) FROM hours)
            UNION ALL SELECT 'meter_daily_written', (SELECT count(*) FROM daily)
@@ -310,6 +311,27 @@ ORACLES: dict[str, str] = {
                 (SELECT avg(total_kwh) AS t FROM daily WHERE ext_dev_ref = (SELECT min(ext_dev_ref) FROM daily)) b
            WHERE a.v >= b.t * 0.9 AND a.v <= b.t * 1.1 QUALIFY place <= 3""", "daily"),
     "mixed_file_types": _with("SELECT ext_dev_ref, timestamp_utc, consumption_kwh FROM hours", "hours"),
+    "incremental_hourly": _with(
+        """SELECT client_id, ext_dev_ref, resolution, date_local, hour, timestamp_local, timestamp_utc,
+                  consumption_kwh, utc AS timestamp, CAST(isodow(utc) - 1 AS INTEGER) AS day_of_week,
+                  CAST(isodow(utc) >= 6 AS INTEGER) AS is_weekend, CAST(month(utc) AS INTEGER) AS month,
+                  CAST(year(utc) AS INTEGER) AS year, lag_1h, lag_24h, rolling_mean_24h, rolling_std_24h
+           FROM lookback""", "lookback"),
+    "incremental_daily": _with(f"SELECT {_DAILY_COLUMNS} FROM daily", "daily"),
+    "incremental_monthly": _with("SELECT * FROM monthly", "monthly"),
+    "meter_lookup": _with(
+        """SELECT CAST(year(utc) AS INTEGER) AS year, CAST(month(utc) AS INTEGER) AS month, count(*) AS hours,
+                  sum(consumption_kwh) AS total_kwh, max(utc) AS last_hour
+           FROM hours WHERE ext_dev_ref = 'dev_3' GROUP BY 1, 2""", "hours"),
+    "shared_day_reports": _with(" UNION ALL ".join(
+        f"SELECT '{name}' AS report, CAST({key} AS VARCHAR) AS value, {n} AS days, {kwh} AS kwh FROM ({_REPORTS[name][0]})"
+        for name, key, n, kwh in (
+            ("yearly_consumption", "year", "NULL", "round(yearly_kwh, 6)"),
+            ("peak_hours_distribution", "peak_hour", "occurrences", "avg_peak_kwh"),
+            ("holiday_vs_nonholiday", "is_holiday", "days", "avg_daily_kwh"),
+            ("vacation_effect", "is_summer_vacation", "days", "avg_daily_kwh"),
+            ("consumption_categories", "consumption_category", "cnt", "avg_daily_kwh"),
+            ("night_day_consumption", "NULL", "NULL", "round(night_kwh + day_kwh, 6)"))), "daily"),
     "repeated_run": _with(
         """SELECT m.ext_dev_ref, m.months, m.days, m.total_kwh, d.day_rows, d.running_total
            FROM (SELECT ext_dev_ref, count(*) AS months, CAST(sum(days_with_data) AS BIGINT) AS days,

@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,13 +19,14 @@ from gridtally.operators.lookback import (
 )
 from gridtally.operators.monthly import derive_monthly_from_daily
 from gridtally.operators.similarity import add_daily_load_shape_similarity
-from gridtally.plans.jobs import run_etl, run_queries
+from gridtally.plans.jobs import run_etl, run_queries, write_hours_csv
 from gridtally.plans.pipeline import BuiltTables, Options, daily_table, hourly_table, hours_with_time
-from gridtally.plans.reports import REPORTS, similar_meters, top_meters_by_year
+from gridtally.plans.reports import DAY_REPORTS, REPORTS, day_reports, similar_meters, top_meters_by_year
 from gridtally.schemas import METER_DAYS
 from gridtally.settings import HOURLY_TABLE
 from gridtally.sources.meter_days import drop_repeated_meter_days, read_all_parquets
 from gridtally.sources.tables import (
+    meter_hours,
     read_sql_to_df,
     read_table,
     save_table,
@@ -312,8 +314,9 @@ def raw_csv_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sorted CSV read back file by file: every row with its place."""
     root = working_folder(spark)
     path = table_path(root, "hours.csv")
-    hours = expand_daily_array_to_hourly(meter_raw(spark, sf_dir))
-    write_csv(hours, path, order_by=HOUR_KEY)
+    raw = meter_raw(spark, sf_dir)
+    write_hours_csv(raw, path)
+    hours = expand_daily_array_to_hourly(raw)
     lines = spark.read.option("header", True).schema(hours.schema).csv(path).select(
         *HOUR_KEY, F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line"))
     return _numbered(lines).select(*HOUR_KEY, "place")
@@ -374,6 +377,66 @@ def repeated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(spark, months.join(last, "ext_dev_ref"), root)
 
 
+def _after_three_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stored tables after a run over the first days, and two over new ones alone.
+
+    Every third meter comes up in the second run, every fifth ends in the first; the others' days are cut in three.
+    """
+    root = working_folder(spark)
+    raw = meter_raw(spark, sf_dir)
+    number = F.regexp_extract("ext_dev_ref", "[0-9]+", 0).cast("int")
+    first = raw.groupBy("ext_dev_ref").agg(F.min("date").alias("first"))
+    day = F.datediff("date", "first")
+    part = F.when(number % 5 == 4, 0).when(number % 3 == 2, F.when(day < 18, 1).otherwise(2)).otherwise(
+        F.when(day < 11, 0).when(day < 23, 1).otherwise(2))
+    parts = raw.join(first, "ext_dev_ref").withColumn("part", part).drop("first").select(*raw.columns, "part")
+    tables = {}
+    for k in range(3):
+        folder = table_path(root, f"input/{k}")
+        parts.where(F.col("part") == k).drop("part").write.parquet(folder)
+        tables = run_etl(spark, f"{folder}/*.parquet", None, table_path(root, "tables"), OPTIONS, if_exists="append")
+    return tables
+
+
+def incremental_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = _after_three_runs(spark, sf_dir)["meter_hourly"]
+    return _rounded(hours, "rolling_mean_24h", "rolling_std_24h")
+
+
+def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_after_three_runs(spark, sf_dir)["meter_daily"], *_DAILY_ROUNDED)
+
+
+def incremental_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _after_three_runs(spark, sf_dir)["meter_monthly"]
+
+
+def meter_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One meter's hours over all stored months."""
+    root = working_folder(spark)
+    save_table(hours_with_time(meter_raw(spark, sf_dir)), HOURLY_TABLE, root, partition_by=["year", "month"],
+               sort_by=["ext_dev_ref", "timestamp"], lookup=["ext_dev_ref"])
+    return meter_hours(spark, root, "dev_3").groupBy("year", "month").agg(
+        F.count("*").alias("hours"), F.sum("consumption_kwh").alias("total_kwh"), F.max("timestamp").alias("last_hour"))
+
+
+def shared_day_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reports that one pass over the daily table gives, one after the other."""
+    made = day_reports(BuiltTables(meter_raw(spark, sf_dir), OPTIONS), DAY_REPORTS)
+    columns = {
+        "yearly_consumption": ("year", None, "yearly_kwh"), "peak_hours_distribution": ("peak_hour", "occurrences", "avg_peak_kwh"),
+        "holiday_vs_nonholiday": ("is_holiday", "days", "avg_daily_kwh"),
+        "vacation_effect": ("is_summer_vacation", "days", "avg_daily_kwh"),
+        "consumption_categories": ("consumption_category", "cnt", "avg_daily_kwh"), "night_day_consumption": (None, None, None)}
+    parts = [
+        made[name]({}).select(
+            F.lit(name).alias("report"), (F.col(key) if key else F.lit(None)).cast("string").alias("value"),
+            (F.col(n) if n else F.lit(None)).cast("bigint").alias("days"),
+            F.round(F.col(kwh) if kwh else F.col("night_kwh") + F.col("day_kwh"), 6).alias("kwh"))
+        for name, (key, n, kwh) in columns.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -413,5 +476,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         similar_meters_first_rows,
         mixed_file_types,
         repeated_run,
+        incremental_hourly,
+        incremental_daily,
+        incremental_monthly,
+        meter_lookup,
+        shared_day_reports,
     )
 }

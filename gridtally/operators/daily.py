@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridtally.functions import calendar
@@ -67,18 +67,33 @@ def aggregate_daily_measures(df: DataFrame) -> DataFrame:
     )
 
 
-def add_cumulative_and_ratio(days: DataFrame) -> DataFrame:
-    """Running total of a meter, and each day's total over the meter's mean day."""
-    total = F.col("total_kwh")
-    in_order = _meter_days_in_order()
-    up_to_day = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    all_days = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def add_cumulative(days: DataFrame, before: str | None = None) -> DataFrame:
+    """Running total of a meter and ``days_so_far``, its days up to this one.
+
+    ``before`` may name a struct column (total, days) with what stands before a row's own share; it is added where it isn't
+    null, instead of the row itself.
+    """
+    up_to_day = _meter_days_in_order().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total, one = F.col("total_kwh"), F.lit(1).cast("bigint")
+    if before is not None:
+        total, one = F.coalesce(f"{before}.total", total), F.coalesce(f"{before}.days", one)
     return days.withColumns({
         "cumulative_total_kwh": F.sum(total).over(up_to_day),
-        "weekend_vs_weekday": F.try_divide(total, F.avg(total).over(all_days) + F.lit(1e-6)),
+        "days_so_far": F.sum(one).over(up_to_day),
     })
 
 
+def add_ratio(days: DataFrame, mean: Column) -> DataFrame:
+    """Each day's total over the meter's mean day."""
+    return days.withColumn("weekend_vs_weekday", F.try_divide(F.col("total_kwh"), mean + F.lit(1e-6)))
+
+
+def add_cumulative_and_ratio(days: DataFrame) -> DataFrame:
+    """Running total of a meter, and each day's total over the meter's mean day."""
+    all_days = _meter_days_in_order().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return add_ratio(add_cumulative(days), F.avg("total_kwh").over(all_days)).drop("days_so_far")
+
+
 def aggregate_daily_from_hourly(df: DataFrame) -> DataFrame:
     """One row per client, meter and date with totals, peak, night, evening and running total."""
     return add_cumulative_and_ratio(aggregate_daily_measures(df))

@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridtally.functions import times
@@ -78,8 +78,10 @@ def hourly_partitions(meter_days: int, session_default: int) -> int:
 
 
 def hourly_table(raw: DataFrame, options: Options = Options(),
-                 meters: DataFrame | None = None) -> DataFrame:
-    """Hourly rows with all features.
+                 meters: DataFrame | None = None, keep: Sequence[str] = (),
+                 seen: tuple[Observation, Sequence[Column]] | None = None) -> DataFrame:
+    """Hourly rows with all features, and the input columns named in ``keep``.  ``seen`` are aggregates of the meter-days
+    to take on the way, where they are read to be shuffled.
 
     The meter-days are cut into slices and shuffled by them before they are expanded: an
     array of 24 numbers instead of 24 wide rows.  The window that follows reuses that
@@ -102,12 +104,15 @@ def hourly_table(raw: DataFrame, options: Options = Options(),
     rows = with_row_id(raw).withColumn(DAY, day(raw))
     partitions = options.hourly_partitions or hourly_partitions(
         0, int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = with_slices(rows, slices).repartition(partitions, METER, SPREAD, SLICE)
+    dealt = with_slices(rows, slices)
+    if seen is not None:
+        dealt = dealt.observe(seen[0], *seen[1])
+    dealt = dealt.repartition(partitions, METER, SPREAD, SLICE)
     # Meters with several slices once more, for the rows that carry over; without any, Spark
     # finds this side empty and drops it.
     again = rows.join(slices, [METER, SPREAD, DAY]).withColumn(CUT, F.lit(True))
 
-    keep = [ROW, SPREAD, DAY, SLICE, PARTS, CUT]
+    keep = [ROW, SPREAD, DAY, SLICE, PARTS, CUT, *keep]
     hours = sliced_lookback(hours_with_time(dealt, options, keep), lookback,
                             cut=hours_with_time(again, options, keep), partitions=partitions)
     return hours.drop(ROW, SPREAD)

@@ -4,7 +4,7 @@ A report is a function of the tables (name -> DataFrame); ``REPORTS`` is the
 catalogue.  Orders are total, so that a report with a limit is the same every time.
 """
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,6 +111,47 @@ def peak_to_mean_outliers(tables: Tables, threshold: float = 2.5) -> DataFrame:
     )
 
 
+def day_measures(daily: DataFrame) -> DataFrame:
+    """Counts, sums and means of all days by year, peak hour, holiday, vacation and band, each by itself: a row per value
+    of each, in one pass.  ``by`` names what a row is grouped by."""
+    keys = {"year": F.year(F.to_date("date_local")), **{k: F.col(k) for k in _DAY_KEYS if k != "year"}}
+    days = daily.select(*[c.alias(k) for k, c in keys.items()], "total_kwh", "peak_kwh", "night_kwh", "day_kwh")
+    sets = [[F.col(k)] for k in keys] + [[]]
+    # In a row grouped by one key all others are null, but so may be the key itself; grouping() tells.
+    by = F.coalesce(*[F.when(F.grouping(k) == 0, k) for k in keys], F.lit("all"))
+    return days.groupingSets(sets, *keys).agg(
+        by.alias("by"), F.count("*").alias("days"), F.sum("total_kwh").alias("sum_total"), F.avg("total_kwh").alias("avg_total"),
+        F.avg("peak_kwh").alias("avg_peak"), F.sum("night_kwh").alias("night_kwh"), F.sum("day_kwh").alias("day_kwh"))
+
+
+# What the common pass groups days by, and the reports that read it: rows, columns and order.
+_DAY_KEYS = ("year", "peak_hour", "is_holiday", "is_summer_vacation", "consumption_category")
+DAY_REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "yearly_consumption": lambda m: m.where("by = 'year'").select("year", F.col("sum_total").alias("yearly_kwh")).orderBy("year"),
+    "peak_hours_distribution": lambda m: m.where("by = 'peak_hour' AND peak_hour IS NOT NULL").select(
+        "peak_hour", F.col("days").alias("occurrences"), F.col("avg_peak").alias("avg_peak_kwh")).orderBy(F.desc("occurrences"), "peak_hour"),
+    "holiday_vs_nonholiday": lambda m: m.where("by = 'is_holiday'").select(
+        "is_holiday", "days", F.col("avg_total").alias("avg_daily_kwh")).orderBy(F.desc("is_holiday")),
+    "vacation_effect": lambda m: m.where("by = 'is_summer_vacation'").select(
+        "is_summer_vacation", "days", F.col("avg_total").alias("avg_daily_kwh")).orderBy(F.desc("is_summer_vacation")),
+    "consumption_categories": lambda m: m.where("by = 'consumption_category'").select(
+        "consumption_category", F.col("days").alias("cnt"), F.col("avg_total").alias("avg_daily_kwh")).orderBy(
+            F.desc("cnt"), "consumption_category"),
+    "night_day_consumption": lambda m: m.where("by = 'all'").select("night_kwh", "day_kwh"),
+}
+
+
+def day_reports(tables: Tables, names: Iterable[str]) -> dict[str, Callable[[Tables], DataFrame]]:
+    """The named ones of DAY_REPORTS, from one scan of the daily table.
+
+    The measures have a row per year, hour, flag and band: a few dozen, which are kept on the driver.
+    """
+    daily = tables[DAILY_TABLE]
+    found = day_measures(daily)
+    kept = daily.sparkSession.createDataFrame(found.collect(), found.schema)
+    return {name: lambda _, make=DAY_REPORTS[name]: make(kept) for name in names}
+
+
 REPORTS: dict[str, Callable[..., DataFrame]] = {
     report.__name__: report
     for report in (
