@@ -1,5 +1,7 @@
 """Zone arithmetic on ``TIMESTAMP_NTZ``, so that the session zone never matters."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,9 +22,22 @@ def _epoch() -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz")
 
 
+def bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(value)`` with the value computed once, however often ``make`` uses it.
+
+    A column that is used several times is copied into each place when the plan is built; the variable of a lambda is not.
+    """
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
 def utc_midnight(day: Column, timezone: str) -> Column:
-    """Naive UTC time of the local midnight that begins ``day``."""
-    return F.convert_timezone(F.lit(timezone), F.lit("UTC"), day.cast("timestamp_ntz"))
+    """Naive UTC time of the local midnight that begins ``day``; the later one where a clock change brings midnight twice."""
+    midnight = day.cast("timestamp_ntz")
+    to_local = lambda utc: F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
+    first = F.convert_timezone(F.lit(timezone), F.lit("UTC"), midnight)
+    next_day = first + F.make_dt_interval(F.lit(1))
+    second = midnight - (to_local(next_day) - next_day)
+    return F.when(to_local(second) == midnight, second).otherwise(first)
 
 
 def midnight_offset_text(day: Column, utc: Column) -> Column:
@@ -65,11 +80,16 @@ def utc_from_local(ts_ntz: Column, timezone: str) -> Column:
     """
     day = F.make_dt_interval(F.lit(1))
     to_local = lambda utc: F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc)
-    before = to_local(ts_ntz - day) - (ts_ntz - day)
-    after = to_local(ts_ntz + day) - (ts_ntz + day)
-    early, late = ts_ntz - before, ts_ntz - after
-    fits = lambda utc: to_local(utc) == ts_ntz
-    return F.when(before == after, early).when(fits(early) & ~fits(late), early).when(fits(late) & ~fits(early), late)
+
+    def of_local(local: Column) -> Column:
+        offsets = F.struct((to_local(local - day) - (local - day)).alias("before"),
+                           (to_local(local + day) - (local + day)).alias("after"))
+        return bound(offsets, lambda o: F.when(o["before"] == o["after"], local - o["before"]).otherwise(
+            bound(F.struct((to_local(local - o["before"]) == local).alias("early"), (to_local(local - o["after"]) == local).alias("late")),
+                  lambda fits: F.when(fits["early"] & ~fits["late"], local - o["before"])
+                  .when(fits["late"] & ~fits["early"], local - o["after"]))))
+
+    return bound(ts_ntz, of_local)
 
 
 def _utc_from_text(text: Column, timezone: str) -> Column:
@@ -77,21 +97,31 @@ def _utc_from_text(text: Column, timezone: str) -> Column:
     text = F.regexp_replace(F.trim(text), r"^(\d{4})(\d{2})(\d{2})(?=$|[Tt ])", "$1-$2-$3")
     text = F.regexp_replace(text, r"(?<=[Tt ])(\d{2})(\d{2})(\d{2})?(?=$|[^\d:])", "$1:$2:$3")
     text = F.regexp_replace(text, r":(?=$|[^\d])", "")
-    part = lambda n: F.regexp_extract(text, _TIME, n)
+    # One match gives all parts; what doesn't match has none.
+    parts = lambda t: F.when(t.rlike(_TIME), F.split(F.regexp_replace(t, _TIME, "$1\n$2\n$3\n$4\n$5\n$6"), "\n"))
+    return bound(text, lambda t: bound(parts(t), lambda p: _utc_from_parts(p, timezone)))
+
+
+def _utc_from_parts(parts: Column, timezone: str) -> Column:
+    """UTC time of the six parts of a text, empty ones where it has none."""
+    part = lambda n: F.get(parts, F.lit(n - 1))
     two = lambda n: F.lpad(F.when(part(n) == "", "0").otherwise(part(n)), 2, "0")
     clock = F.concat(part(1), F.lit("T"), two(2), F.lit(":"), two(3), F.lit(":"), two(4), F.lit("."),
                      F.rpad(F.substring(part(5), 1, 6), 6, "0"))
-    local = F.when(text.rlike(_TIME), clock.try_cast("timestamp_ntz"))
     zone = part(6)
-    number = lambda n: F.coalesce(F.regexp_extract(zone, _OFFSET, n).try_cast("int"), F.lit(0))
-    sign = F.when(F.regexp_extract(zone, _OFFSET, 1) == "-", -1).otherwise(1)
-    shifted = local - F.make_dt_interval(F.lit(0), sign * number(2), sign * number(3))
-    return (
+    offset = F.struct(*[F.regexp_extract(zone, _OFFSET, n).alias(name) for n, name in ((1, "sign"), (2, "hours"), (3, "minutes"))])
+
+    def shifted(local: Column) -> Column:
+        number = lambda c: F.coalesce(c.try_cast("int"), F.lit(0))
+        moved = lambda o: F.when((number(o["hours"]) <= 18) & (number(o["minutes"]) < 60), local - F.make_dt_interval(
+            F.lit(0), *[F.when(o["sign"] == "-", -1).otherwise(1) * number(o[c]) for c in ("hours", "minutes")]))
+        return bound(offset, moved)
+
+    return bound(clock.try_cast("timestamp_ntz"), lambda local: (
         F.when(zone == "", utc_from_local(local, timezone))
         .when(F.upper(zone).isin("Z", "UTC", "GMT"), local)
-        .when(zone.rlike(_OFFSET), F.when((number(2) <= 18) & (number(3) < 60), shifted))
-        .otherwise(utc_from_instant(F.try_to_timestamp(F.concat(local.cast("string"), F.lit(" "), zone))))
-    )
+        .when(zone.rlike(_OFFSET), shifted(local))
+        .otherwise(utc_from_instant(F.try_to_timestamp(F.concat(local.cast("string"), F.lit(" "), zone))))))
 
 
 def parse_to_utc(df: DataFrame, column: str, timezone: str) -> Column:
