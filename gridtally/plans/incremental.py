@@ -86,7 +86,8 @@ class Counts:
     def checked(self, days: DataFrame, hours: int) -> dict[str, int]:
         """The counts, if they fit the ``hours`` that are stored.  A task that ran twice counts twice; then the
         input is counted once more."""
-        found = self.observation.get
+        # Without any hour the adaptive plan may have left out the pass that is observed.
+        found = self.observation.get if hours else {"read": -1, "rejected": 0}
         if (found["read"] - found["rejected"]) * HOURS_PER_DAY == hours:
             return found
         return days.agg(*Counts(self.options).of(days)[1]).first().asDict()

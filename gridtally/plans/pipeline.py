@@ -40,6 +40,7 @@ from gridtally.settings import (
     MAX_DAYS_PER_TASK,
     MAX_ROWS_PER_SLICE,
     MONTHLY_TABLE,
+    PLAIN_HOURS,
 )
 
 
@@ -143,10 +144,11 @@ class BuiltTables(Mapping):
             DAILY_ROLLING_VIEW: lambda: self[DAILY_TABLE],
             MONTHLY_TABLE: lambda: derive_monthly_from_daily(self[DAILY_TABLE]),
         }
+        self._plain = lambda: hours_with_time(raw, options)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = self._builders[name]()
+            self._frames[name] = self._plain() if name == PLAIN_HOURS else self._builders[name]()
         return self._frames[name]
 
     def __iter__(self):

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.settings import DAILY_TABLE, HOURLY_TABLE, MONTHLY_TABLE
+from gridtally.settings import DAILY_TABLE, HOURLY_TABLE, MONTHLY_TABLE, PLAIN_HOURS
 
 Tables = Mapping[str, DataFrame]
 
@@ -32,8 +32,9 @@ def top_meters_by_year(tables: Tables, rows: int = 100) -> DataFrame:
 
 def hourly_profile_avg(tables: Tables) -> DataFrame:
     """Mean reading per hour; ``samples`` counts rows, also those without a reading."""
+    # No column that looks back is read: tables that are built on demand have the hours without them.
     return (
-        tables[HOURLY_TABLE]
+        tables[PLAIN_HOURS if PLAIN_HOURS in tables else HOURLY_TABLE]
         .groupBy("hour")
         .agg(F.avg("consumption_kwh").alias("avg_kwh"), F.count("*").alias("samples"))
         .orderBy("hour")

@@ -7,6 +7,8 @@ DAILY_TABLE = "meter_daily"
 DAILY_ROLLING_VIEW = "meter_daily_rolling_7d"
 MONTHLY_TABLE = "meter_monthly"
 REJECTS_TABLE = "meter_rejects"
+# Hourly rows without columns that look back, where tables are built on demand and not stored.
+PLAIN_HOURS = "plain_hours"
 # What the next run goes on from: the last meter-days of every meter, and its last days with what they add up to.
 LAST_DAYS_TABLE = "meter_last_days"
 TOTALS_TABLE = "meter_totals"

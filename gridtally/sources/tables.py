@@ -102,7 +102,7 @@ def meter_hours(spark: SparkSession, root: str, meter: str, since=None, until=No
     as_month = lambda t: F.year(t) * 12 + F.month(t)
     for limit, keep in ((since, lambda t: (month >= as_month(t)) & (at >= t)), (until, lambda t: (month <= as_month(t)) & (at < t))):
         if limit is not None:
-            hours = hours.where(keep(F.lit(limit).cast("timestamp_ntz")))
+            hours = hours.where(keep(F.lit(str(limit)).cast("timestamp_ntz")))
     return hours.orderBy("timestamp", "timestamp_local")
 
 

@@ -130,8 +130,8 @@ def test_two_runs_leave_one_row_per_key(spark, tmp_path):
         assert twice[name].exceptAll(once[name].select(*twice[name].columns)).isEmpty()
         assert twice[name].count() == once[name].count()
     with pytest.raises(ValueError, match="append"):
-        run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root, if_exists="append")
-    with pytest.raises(AnalysisException):
+        run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root, if_exists="ignore")
+    with pytest.raises(FileExistsError):
         run_etl(spark, str(tmp_path / "in/*/*.parquet"), None, root, if_exists="fail")
 
 
@@ -172,4 +172,6 @@ def test_command_line(spark, tmp_path):
     assert run(["--input-glob", str(tmp_path / "in/*.parquet"), *args, "--no-table-csv"]) == 0
     assert sorted(os.listdir(tmp_path / "out")) == ["reports"]
     assert len(os.listdir(tmp_path / "out" / "reports")) == 11
-    assert sorted(os.listdir(tmp_path / "tables")) == ["meter_daily", "meter_hourly", "meter_monthly", "run_metrics"]
+    assert sorted(os.listdir(tmp_path / "tables")) == [
+        "_manifests", "meter_daily", "meter_hourly", "meter_last_days", "meter_monthly", "meter_totals", "run_metrics"]
+    assert run(["--input-glob", str(tmp_path / "in/*.parquet"), *args, "--no-table-csv", "--if-exists", "fail"]) == 1
