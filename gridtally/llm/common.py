@@ -10,15 +10,26 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: A word is a run of anything but ASCII white space.
 SPACE = "[\\x20\\x09-\\x0D]+"
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
+#: Rows that Python workers get at a time, unless the session says otherwise: whole texts, so that Spark's default is too many.
+ROWS_AT_A_TIME = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send the package to the executors, once per session, so that their Python finds it without an installation."""
+    """Send the package to the executors, once per session, so that their Python finds it without an installation.
+
+    Where the session has Spark's default number of rows for a batch, it is lowered to ROWS_AT_A_TIME.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, str(ROWS_AT_A_TIME))
     if not any("gridtally-code" in str(f) for f in context._python_includes):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         archive = os.path.join(tempfile.mkdtemp(prefix="gridtally-"), "gridtally-code")
@@ -50,6 +61,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -64,6 +86,46 @@ def id_bucket(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+def contracted(edges: DataFrame) -> DataFrame:
+    """(node, component) of the nodes of ``edges`` (a, b); a component is named by one of its nodes.
+
+    Every node points to its least neighbour, and to where that points; nodes of one target become one, edges inside it go, and the
+    rest is done again until no edge is left.  Names should be in random order (hashes): then each round leaves a part of the nodes
+    however long the paths are.  Empty edges give no rows.
+    """
+    kind = edges.schema["a"].dataType
+    both = checkpoint(edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
+                      .union(edges.select(F.col("b"), F.col("a"))).where("src <> dst").distinct())
+    rounds = []
+    while not both.isEmpty():
+        nearest = checkpoint(both.groupBy("src").agg(F.min("dst").alias("low"))
+                             .select(F.col("src").alias("node"), F.least("src", "low").alias("near")))
+        further = nearest.select(F.col("node").alias("near"), F.col("near").alias("component"))
+        rounds.append(checkpoint(nearest.join(further, "near").select("node", "component")))
+        of = lambda side: rounds[-1].select(F.col("node").alias(side), F.col("component").alias(f"{side}_"))
+        both = checkpoint(both.join(of("src"), "src").join(of("dst"), "dst").where("src_ <> dst_")
+                          .select(F.col("src_").alias("src"), F.col("dst_").alias("dst")).distinct())
+    if not rounds:
+        return edges.sparkSession.createDataFrame([], StructType([StructField(c, kind) for c in ("node", "component")]))
+    labels = rounds.pop()
+    while rounds:
+        above = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        labels = rounds.pop().join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    return checkpoint(labels)
+
+
+def further_contracted(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (node, component) after more ``edges`` (a, b), whose nodes may be new."""
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("component").alias(f"{side}_"))
+    joining = contracted(edges.join(of("a"), "a", "left").join(of("b"), "b", "left")
+                         .select(F.coalesce("a_", "a").alias("a"), F.coalesce("b_", "b").alias("b")))
+    if joining.isEmpty():
+        return labels
+    above = joining.select(F.col("node").alias("component"), F.col("component").alias("above"))
+    old = labels.join(above, "component", "left").select("node", F.coalesce("above", "component").alias("component"))
+    return checkpoint(old.unionByName(joining.join(labels, "node", "left_anti")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b); a component is named by its least node.
 

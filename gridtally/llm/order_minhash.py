@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import checkpoint, components, ship, text_or_empty
+from gridtally.llm.common import checkpoint, contracted, fresh, further_contracted, ship, text_or_empty
 from gridtally.llm.wordhash import Words, batches, mix, numbers, runs
 
 #: Words of a k-mer, k-mers of a sketch, sketches of a document.
@@ -91,6 +91,10 @@ def text_keys(words: Words) -> list[bytes]:
     return [row.tobytes() for row in out]
 
 
+#: Buckets of a text in which it is compared with the least one before anything else.
+FIRST_BUCKETS = 3
+#: Rows of blocks, of about 1.5 KB, that one task holds at a time.
+ROWS_OF_BLOCKS = 20_000
 #: Stands for a null doc_id where rows are matched.
 NO_ID = 2**63 - 1
 #: Bins of a profile, the sketch by which pairs are weighed before their texts are fetched.
@@ -235,8 +239,9 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     ``n_texts`` the different texts of the class, ``text_hash`` is xxhash64 of the text.
 
     Candidates share one of 20 sketches, which a pair at 0.8 misses once in a million.  Documents with the same words are one
-    text; a group of near copies is joined through two stars per bucket, and what then is still apart is compared
-    block by block, by profiles first.  So the number of verified pairs follows the links, not the square of a group.
+    text; a group of near copies is joined through a star in each of a few buckets of a text, then through one text of each component
+    that the other buckets still hold, and what then is still apart is compared block by block, by profiles first.  So the
+    number of verified pairs follows the links, not the square of a group.
 
     Null and empty texts, and texts of white space, are copies of one another.  Texts of fewer than five words match
     whole.  Repeated rows are copies.  A null doc_id never names a class that has another.  Other columns are not
@@ -249,7 +254,7 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
         _sketch, "doc_id bigint, text_hash bigint, node binary, keys array<bigint>, n int"))
     texts = checkpoint(seen.where("n > 0").groupBy("node").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("first"), F.any_value("keys").alias("keys")))
-    keyed = texts.select("node", F.explode("keys").alias("key")).distinct()
+    keyed = texts.select("node", F.posexplode("keys").alias("at", "key"))
     shared = checkpoint(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"))
     members = checkpoint(keyed.join(shared, "key"))
     firsts = members.select("node").distinct().join(texts, "node").select(
@@ -265,23 +270,31 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
         return checkpoint(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(
             _verify(rule.similarity), "a binary, b binary, similarity double"))
 
-    def star(column: str) -> DataFrame:
-        return members.where(F.col("node") != F.col(column)).select(
-            F.least("node", column).alias("a"), F.greatest("node", column).alias("b")).distinct()
-
-    # Two stars in each bucket, from its least and from its greatest node; what they leave apart is looked at below.
-    tested = verified(star("low").union(star("high")).distinct())
-    links = tested.where(F.col("similarity") >= rule.similarity).select("a", "b")
-    labels = components(links)
-    # Blocks are dealt out by their hash, many small ones in a call.
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    apart = _apart(members, labels, rule).join(packed.select("node", "keys", "profile"), "node").withColumn(
+    def star(rows: DataFrame, column: str) -> DataFrame:
+        return rows.where(F.col("node") != F.col(column)).select(
+            F.least("node", column).alias("a"), F.greatest("node", column).alias("b"))
+
+    def links_of(tested: DataFrame) -> DataFrame:
+        return tested.where(F.col("similarity") >= rule.similarity).select("a", "b")
+
+    # A few buckets of a text connect most of a group; in the others only what then is still apart is looked at, one text
+    # of each component: against the bucket's least and its greatest one, and then all others by blocks.
+    tested = verified(star(members.where(F.col("at") < FIRST_BUCKETS), "low").distinct())
+    labels = contracted(links_of(tested))
+    ends = (_with_component(members, labels).groupBy("key", "component").agg(F.min("node").alias("node")))
+    of_bucket = ends.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    ends = checkpoint(ends.join(of_bucket, "key"))
+    again = star(ends, "low").union(star(ends, "high")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    tested_again = verified(again)
+    labels = further_contracted(labels, links_of(tested_again))
+    apart = checkpoint(_apart(members, labels, rule))
+    # Blocks are dealt out by their hash, many small ones in a call, and as many calls as the rows need.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-apart.count() // ROWS_OF_BLOCKS))
+    dealt = apart.join(packed.select("node", "keys", "profile"), "node").withColumn(
         "block", F.xxhash64("key", "row_block", "column_block")).withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
-    likely = (
-        apart.groupBy("part").applyInPandas(_likely(rule), "a binary, b binary").distinct()
-        .join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    more = verified(likely).where(F.col("similarity") >= rule.similarity).select("a", "b")
-    labels = components(links.union(more))
+    known = tested.select("a", "b").union(tested_again.select("a", "b"))
+    likely = dealt.groupBy("part").applyInPandas(_likely(rule), "a binary, b binary").distinct().join(known, ["a", "b"], "left_anti")
+    labels = further_contracted(labels, links_of(verified(likely)))
 
     classed = checkpoint(
         seen.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
@@ -293,10 +306,14 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
         F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
+def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, key, component): what no link has reached is a component of its own."""
+    return members.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
 def _apart(members: DataFrame, labels: DataFrame, rule: Near) -> DataFrame:
     """(key, node, component, own, row_block, column_block): buckets with texts of several components, by blocks."""
-    known = checkpoint(members.select("key", "node").join(labels, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")))
+    known = checkpoint(_with_component(members, labels))
     mixed = checkpoint(known.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"))
         .where("least < most").select("key", F.ceil(F.col("size") / rule.block).cast("int").alias("blocks")))
@@ -312,7 +329,8 @@ def _apart(members: DataFrame, labels: DataFrame, rule: Near) -> DataFrame:
 def keep_one(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     """One document of each class, with the columns of ``docs``: that of the least id; repeated rows once."""
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
-    kept = near_classes(docs, rule).where("kept").select(key.alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    keyed = docs.withColumns({"_id": key, "_hash": F.xxhash64(text_or_empty())})
+    names = fresh(docs, "_id", "_hash")
+    kept = near_classes(docs, rule).where("kept").select(key.alias(names[0]), F.col("text_hash").alias(names[1])).distinct()
+    keyed = docs.withColumns(dict(zip(names, (key, F.xxhash64(text_or_empty())), strict=True)))
     # One shuffle of the texts: the repeated rows fall where the join has put them.
-    return keyed.join(kept, ["_id", "_hash"], "left_semi").dropDuplicates(["_id", "_hash"]).select(*docs.columns)
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import SPACE, checkpoint, text_or_empty, words_of
+from gridtally.llm.common import SPACE, checkpoint, fresh, text_or_empty, words_of
 
 # The patterns.  They match what the plain forms beside them match; possessive quantifiers and the
 # look-behind only keep long runs from being tried again and again.
@@ -123,16 +123,29 @@ def clean_words(text: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(words_of(F.lower(text)), bare), lambda w: w.rlike(r"^\p{L}{3,}+$")))
 
 
-def _holding(docs: DataFrame, terms: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text_hash, term): the documents in which each term stands."""
-    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                        F.explode(F.array_distinct(F.split(F.lower(text_or_empty()), SPACE))).alias("word"))
-    return (words.withColumn("term", bare(F.col("word"))).join(_hint(terms.select("term").distinct(), rows), "term")
-            .select("doc_id", "text_hash", "term").distinct())
+def _distinct_terms(text: Column) -> Column:
+    """Array of the different words of a text, lower-cased, without digits and punctuation at their ends."""
+    return F.array_distinct(F.transform(F.array_distinct(F.split(F.lower(text), SPACE)), bare))
+
+
+def _frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n_t): the number of rows in which each of the distinct ``terms`` stands.  Counted before it is shuffled."""
+    words = docs.select(F.explode(_distinct_terms(text_or_empty())).alias("term"))
+    rows = terms.count()
+    if rows <= MAX_BROADCAST_TERMS:
+        words = words.join(F.broadcast(terms), "term")
+    counted = words.groupBy("term").agg(F.count("*").alias("n_t"))
+    return counted if rows <= MAX_BROADCAST_TERMS else counted.join(terms, "term")
+
+
+def _holding(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, term): the documents in which each of the distinct ``terms`` stands."""
+    words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(_distinct_terms(text_or_empty())).alias("term"))
+    return words.join(_hint(terms, terms.count()), "term").select("doc_id", "text_hash", "term").distinct()
 
 
 def _mentions(docs: DataFrame, rule: Disclosure) -> DataFrame:
-    """A row per document and entity: the words around its mentions, and a key of these surroundings."""
+    """A row per row of ``docs`` and entity: the words around its mentions, and a key of these surroundings."""
     t, reach = text_or_empty(), rule.reach
     found = _of_all(KINDS[:4], lambda k, s: F.struct(
         F.lit(k).alias("kind"), F.lower(s["value"]).alias("value"), s["start"].alias("start"), s["end"].alias("end")))
@@ -143,10 +156,11 @@ def _mentions(docs: DataFrame, rule: Disclosure) -> DataFrame:
     whole_left = F.when(low > 0, F.regexp_replace(left, r"^[^\x20\x09-\x0D]*+", "")).otherwise(left)
     whole_right = F.when(F.length(right) == reach, F.regexp_replace(right, r"[^\x20\x09-\x0D]*+$", "")).otherwise(right)
     return (
-        some.select("doc_id", F.xxhash64("text").alias("text_hash"), t.alias("t"), F.explode(found).alias("m"))
-        .select("doc_id", "text_hash", F.struct("m.kind", "m.value").alias("entity"),
+        some.select(F.monotonically_increasing_id().alias("row"), t.alias("t"), found.alias("found"))
+        .select("row", "t", F.explode("found").alias("m"))
+        .select("row", F.struct("m.kind", "m.value").alias("entity"),
                 clean_words(F.concat(whole_left, F.lit(" "), whole_right)).alias("near"))
-        .groupBy("doc_id", "text_hash", "entity").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"))
+        .groupBy("row", "entity").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near"))
         .withColumn("context", F.xxhash64("near"))
     )
 
@@ -154,7 +168,7 @@ def _mentions(docs: DataFrame, rule: Disclosure) -> DataFrame:
 def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """(term, share, kinds): words that reveal a protected entity, the largest share of its information they carry.
 
-    ``docs`` has the columns of ``base_spans``.  With N documents, n(e) that mention the entity, n(t) that hold the
+    ``docs`` has the columns of ``base_spans``; repeated rows count each.  With N documents, n(e) that mention the entity, n(t) that hold the
     word and n(e, t) where it stands beside the entity, the share is log(N p / n(e)) / log(N / n(e)).  p is how often
     the word tells the entity when one surrounding, with all its copies, is left out to be told by the others: of c
     different surroundings, p = (n(e,t) - n(e,t)/c) / (n(t) - n(e,t)/c).  Two are enough if the word stands nowhere
@@ -170,10 +184,9 @@ def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFr
         .join(per_entity, "entity")
     )
     pairs = checkpoint(pairs)
-    rows = pairs.count()
-    if not rows:  # p is 0 for all: the counts over all words would be of nothing
+    if pairs.isEmpty():  # p is 0 for all: the counts over all words would be of nothing
         return docs.sparkSession.createDataFrame([], "term string, share double")
-    frequency = _holding(docs, pairs, rows).groupBy("term").agg(F.count("*").alias("n_t"))
+    frequency = _frequency(docs, checkpoint(pairs.select("term").distinct()))
     size = F.lit(float(docs.count()))
     left_out = F.col("n_et") / F.col("contexts")
     p = (F.col("n_et") - left_out) / (F.greatest("n_t", "n_et") - left_out)
@@ -202,20 +215,21 @@ def find_private(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     terms = checkpoint(disclosing_terms(based, rule))
     if terms.isEmpty():
         return based.withColumn("term", F.array().cast(SPANS))
+    names = fresh(based, "_id", "_hash", "_held")
+    of_id, of_hash, held_terms = names
     held = checkpoint(
-        _holding(docs, terms, terms.count()).join(terms, "term")
-        .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias("_held"))
-        .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    joined = based.join(_hint(held, held.agg(F.sum(F.size("_held"))).first()[0] or 0), same, "left")
-    quoted = F.transform("_held", lambda h: F.concat(F.lit("\\Q"), h["term"], F.lit("\\E")))
+        _holding(docs, terms.select("term")).join(terms, "term")
+        .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("term", "share"))).alias(held_terms))
+        .withColumnsRenamed({"doc_id": of_id, "text_hash": of_hash}))
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_hash))
+    joined = based.join(_hint(held, held.agg(F.sum(F.size(held_terms))).first()[0] or 0), same, "left")
+    quoted = F.transform(held_terms, lambda h: F.concat(F.lit("\\Q"), h["term"], F.lit("\\E")))
     pattern = F.concat(F.lit("(?<!\\p{L})(?iu:"), F.array_join(quoted, "|"), F.lit(")(?!\\p{L})"))
-    share = lambda v: F.get(F.filter("_held", lambda h: h["term"] == F.lower(v)), F.lit(0))["share"]
+    share = lambda v: F.get(F.filter(held_terms, lambda h: h["term"] == F.lower(v)), F.lit(0))["share"]
     spans = F.transform(_placed(text_or_empty(), pattern, lambda m: F.lit(True)), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"),
         F.when(share(s["value"]) >= rule.remove, "remove").otherwise("generalise").alias("value")))
-    return joined.withColumn("term", F.when(F.col("_held").isNotNull(), spans).otherwise(F.array()).cast(SPANS)).drop(
-        "_id", "_hash", "_held")
+    return joined.withColumn("term", F.when(F.col(held_terms).isNotNull(), spans).otherwise(F.array()).cast(SPANS)).drop(*names)
 
 
 def span_text(*kinds: str) -> Column:
@@ -230,7 +244,10 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     changed texts.  Nulls stay null, and so do texts without a finding; the columns stay those of the input.
     """
     own = docs.columns
-    marked = find_private(docs.withColumnsRenamed({k: f"_own_{k}" for k in KINDS if k in own}), rule)
+    clash = [c for c in own if c.lower() in KINDS]
+    aside = dict(zip(clash, fresh(docs, *[f"_own_{c}" for c in clash]), strict=True))
+    marked = find_private(docs.withColumnsRenamed(aside), rule)
+    all_spans, new_text = fresh(marked, "_spans", "_new")
     label = lambda k, s: F.when(s["value"] == "remove", "").otherwise(f"[{k.upper()}]") if k == "term" else F.lit(f"[{k.upper()}]")
     spans = F.sort_array(_of_all(KINDS, lambda k, s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), label(k, s).alias("label"))))
@@ -241,11 +258,11 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
         F.struct(F.concat(acc["out"], F.substring(t, acc["at"] + 1, s["start"] - acc["at"]), s["label"]).alias("out"),
                  s["end"].alias("at")))
     last = lambda acc: F.concat(acc["out"], F.substring(t, acc["at"] + 1, F.length(t)))
-    changed = F.size("_spans") > 0
-    out = marked.withColumn("_spans", spans).withColumn(
-        "_new", F.when(changed, F.aggregate("_spans", zero, step, last)).otherwise(t))
-    result = {"text": F.col("_new")}
+    changed = F.size(all_spans) > 0
+    out = marked.withColumn(all_spans, spans).withColumn(
+        new_text, F.when(changed, F.aggregate(all_spans, zero, step, last)).otherwise(t))
+    result = {"text": F.col(new_text)}
     if "n_chars" in own:
-        result["n_chars"] = F.when(changed, F.length("_new").cast("bigint")).otherwise(F.col("n_chars"))
-    out = out.withColumns(result).drop("_spans", "_new", *KINDS)
-    return out.withColumnsRenamed({f"_own_{k}": k for k in KINDS if k in own}).select(*own)
+        result["n_chars"] = F.when(changed, F.length(new_text).cast("bigint")).otherwise(F.col("n_chars"))
+    out = out.withColumns(result).drop(all_spans, new_text, *KINDS)
+    return out.withColumnsRenamed({v: k for k, v in aside.items()}).select(*own)

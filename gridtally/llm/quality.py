@@ -127,8 +127,9 @@ def _featurise(buckets: int):
 
 
 def _with_metadata(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, n_chars), whatever else there is."""
     given = F.col("n_chars").cast("double") if "n_chars" in docs.columns else F.lit(None).cast("double")
-    return docs.withColumns({"text": text_or_empty(), "n_chars": given})
+    return docs.select("doc_id", text_or_empty().alias("text"), given.alias("n_chars"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rule: Training = Training()) -> Machine:

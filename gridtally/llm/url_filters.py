@@ -51,7 +51,8 @@ SITE_RULES = tuple(prefix_rule(v, r) for v, r in (
 
 #: Pages that are seldom prose.  They decide where no host and path rule fits.
 PATTERN_RULES = (
-    Rule("login", "block", "/(login|signin)(/|[?]|$)", ()),
+    Rule("login", "block", "/login(/|[?]|$)", ("login",)),
+    Rule("signin", "block", "/signin(/|[?]|$)", ("signin",)),
     Rule("cart", "block", "/cart(/|[?]|$)", ("cart",)),
     Rule("admin", "block", "/wp_admin(/|[?]|$)", ("wp_admin",)),
     Rule("casino", "block", "://([^/?#]*[.-])?casino[.-]", ("casino",)),
@@ -105,9 +106,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES + PATTERN_RU
              -len(r.name) if r.kind == "prefix" else 0) for r in rules]
     index = spark.createDataFrame(rows, StructType([StructField(n, StringType()) for n in (
         "_token", "_kind", "_name", "_verdict", "_regex")] + [StructField("_rank", IntegerType())]))
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "pattern", "verdict")]
-    base = host_and_path(pages.select(*kept), url)
-    lower = F.translate(F.coalesce(F.col(url), F.lit("")), UPPER, LOWER)
+    kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "pattern", "verdict")]
+    # The input stands in one column, so that its names meet none of the others.
+    base = host_and_path(pages.select(F.struct(*kept).alias("_in"), F.col(url).alias("_url")), "_url")
+    lower = F.translate(F.coalesce(F.col("_url"), F.lit("")), UPPER, LOWER)
     tried = (
         base.withColumns({"_row": F.monotonically_increasing_id(), "_lower": lower})
         .withColumn("_token", F.explode(F.array_append(_tokens(F.col("_lower")), F.lit(""))))
@@ -117,8 +119,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = SITE_RULES + PATTERN_RU
     fits = F.coalesce(F.regexp_like(subject, F.col("_regex")), F.lit(False))
     best = lambda kind: F.min(F.when(fits & (F.col("_kind") == kind), F.struct("_rank", "_name", "_verdict")))
     out = tried.groupBy("_row").agg(
-        *[F.any_value(F.col(c)).alias(c) for c in [*kept, "host", "path"]],
+        *[F.any_value(F.col(c)).alias(c) for c in ("_in", "host", "path")],
         best("prefix").alias("_prefix"), best("pattern").alias("_pattern"))
     return out.select(
-        *kept, "host", "path", F.col("_prefix._name").alias("rule"), F.col("_pattern._name").alias("pattern"),
+        "_in.*", "host", "path", F.col("_prefix._name").alias("rule"), F.col("_pattern._name").alias("pattern"),
         F.coalesce("_prefix._verdict", "_pattern._verdict", F.lit(default)).alias("verdict"))
