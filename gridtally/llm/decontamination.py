@@ -10,7 +10,6 @@ overlap of that kind is missed.  Built-in functions only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,16 +69,17 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id:
         .select("item_id", F.explode(_seeds(F.col("iw"), at)).alias("seed"), _around(F.col("iw"), at).alias("item"))
         .where("seed is not null")
     )
-    if seeds.count() <= MAX_BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
     place = F.col("i")
-    hits = (
+    starts = (
         left.select("doc_id", "text_key", "dw", F.explode(_starts(F.col("dw"), SPAN - 1)).alias("i"))
         .withColumn("seed", F.explode(_seeds(F.col("dw"), place)))
         .where("seed is not null")
-        .join(seeds, "seed")
-        .select("doc_id", "text_key", "i", "item_id", "item", _around(F.col("dw"), place).alias("doc"))
     )
+    own = F.col("doc_id"), F.col("text_key"), F.col("i"), _around(F.col("dw"), place).alias("doc")
+    if seeds.count() <= MAX_BROADCAST_SEEDS:  # the words beside a place are cut out where it is hit
+        hits = starts.join(F.broadcast(seeds), "seed").select(*own, "item_id", "item")
+    else:  # a place is shuffled with the words beside it, not with all of its document
+        hits = starts.select(*own, "seed").join(seeds, "seed").drop("seed")
     # Both sides from the same diagonal: as many words before the hit as both have.
     before = F.least("item.before", "doc.before")
     agree = F.zip_with(
@@ -101,22 +101,21 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id:
              (F.max(F.array_max(F.transform("good", lambda w: w["at"]))) + WINDOW).alias("end"))
         .where("agreeing is not null")
     )
-    for one_length in _short(left, right):
-        found = found.unionByName(one_length)
-    return found.select("doc_id", "item_id", "agreeing", "start", "end", "text_key")
+    return found.unionByName(_short(left, right)).select("doc_id", "item_id", "agreeing", "start", "end", "text_key")
 
 
-def _short(left: DataFrame, right: DataFrame) -> Iterator[DataFrame]:
-    """Items of fewer than WINDOW words, found whole.  One pass for each of the at most 12 lengths that occur."""
+def _short(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Items of fewer than WINDOW words, found whole, in one pass over the documents for all lengths that occur."""
     short = right.where((F.size("iw") > 0) & (F.size("iw") < WINDOW)).withColumn("n", F.size("iw"))
-    lengths = [r["n"] for r in short.select("n").distinct().orderBy("n").collect()]
-    for n in lengths:
-        own = short.where(F.col("n") == n).select("item_id", F.array_join("iw", " ").alias("words"))
-        yield (left.select("doc_id", "text_key", "dw", F.explode(_starts(F.col("dw"), n)).alias("i"))
-               .select("doc_id", "text_key", "i", F.array_join(F.slice("dw", F.col("i") + 1, n), " ").alias("words"))
-               .join(own, "words")
-               .groupBy("doc_id", "text_key", "item_id").agg(F.min("i").alias("start"), (F.max("i") + n).alias("end"))
-               .withColumn("agreeing", F.lit(n)))
+    lengths = [r["n"] for r in short.select("n").distinct().orderBy("n").collect()]  # WINDOW - 1 at most
+    own = short.select("item_id", "n", F.array_join("iw", " ").alias("words"))
+    places = F.flatten(F.transform(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: F.transform(
+        _starts(F.col("dw"), n), lambda i: F.struct(n.alias("n"), i.alias("i")))))
+    return (left.select("doc_id", "text_key", "dw", F.explode(places).alias("p"))
+            .select("doc_id", "text_key", "p.n", "p.i", F.array_join(F.slice("dw", F.col("p.i") + 1, F.col("p.n")), " ").alias("words"))
+            .join(own, ["n", "words"])
+            .groupBy("doc_id", "text_key", "item_id", "n").agg(F.min("i").alias("start"), (F.max("i") + F.col("n")).alias("end"))
+            .select("doc_id", "text_key", "item_id", F.col("n").alias("agreeing"), "start", "end"))
 
 
 def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Each task packs its own pieces online: a piece goes to the open bin whose free
 space fits it most tightly, found in a bitset keyed by free space; beyond the
-bound the fullest bin closes.  What is still open at the end of a task becomes
-an item of a second round, in which the tasks' open bins are packed together.
+bound the fullest bin closes.  The pieces of bins that are still open at the end of a task
+come to a second round, in which those of some tasks are packed together by the same packer.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ OPEN_BINS = 1024
 #: Texts encoded and packed at a time.
 BATCH_CHARS = 1 << 22
 #: Tasks whose open bins meet in one task of the second round: the pieces of at most TOGETHER * OPEN_BINS bins.
-TOGETHER = 64
+TOGETHER = 16
 
 
 class BestFit:
@@ -105,13 +105,22 @@ def _pack_partition(path: str, capacity: int, open_bins: int, end_id: int, keep_
     return run
 
 
-def _second_round(capacity: int, columns: list[str]):
-    """Pieces of open bins, the longest first, into as many bins as they need."""
+def _second_round(capacity: int, open_bins: int, columns: list[str]):
+    """Pieces of open bins once more, by the same packer.  As many as would fill ``open_bins`` bins are taken at a time, as the tasks
+    left them, and handed over the longest first; so the bound holds here too, and hardly a bin closes before it is full."""
     def run(frame):
-        frame = frame.sort_values(["length", "task", "bin", "at"], ascending=False)
-        bins = BestFit(capacity, len(frame))
-        places = [bins.add(n) for n in frame["length"]]
-        return frame.assign(bin=[b for b, _ in places], at=[a for _, a in places])[columns]
+        frame = frame.sort_values(["task", "bin", "at"])
+        frame["run"] = (frame["length"].cumsum() - frame["length"]) // (capacity * open_bins)
+        frame = frame.sort_values(["run", "length"], ascending=[True, False], kind="stable")
+        names, places, made = [], [], 0
+        for _, lengths in frame.groupby("run", sort=True)["length"]:
+            bins = BestFit(capacity, open_bins)
+            for n in lengths:
+                name, at = bins.add(n)
+                names.append(made + name)
+                places.append(at)
+            made += bins.made
+        return frame.assign(bin=names, at=places)[columns]
     return run
 
 
@@ -137,7 +146,7 @@ def pack(docs: DataFrame, capacity: int = 2048, open_bins: int = OPEN_BINS, voca
     pieces = first.where("piece >= 0").drop("fill").join(opened, ["task", "bin"], "left").withColumn(
         "together", F.floor(F.col("task") / TOGETHER))
     again = pieces.where("opened")
-    again = again.groupBy("together").applyInPandas(_nullable_frame(_second_round(capacity, again.columns)), again.schema)
+    again = again.groupBy("together").applyInPandas(_nullable_frame(_second_round(capacity, open_bins, again.columns)), again.schema)
     # Numbers of the two rounds do not meet: a closed bin is even, one of the second round odd.
     closed = F.shiftleft(F.col("task"), 33) + F.col("bin") * 2
     joined = F.shiftleft(F.col("together"), 33) + F.col("bin") * 2 + 1

@@ -278,7 +278,7 @@ def test_sanitised_texts(documents):
 
 def test_overlapping_spans_become_one(documents):
     row = "see +4111111111111111 or 1.2.3.4@b.c"
-    assert pii.sanitise(documents([(1, row)])).first()["text"] == "see [PHONE] or [EMAIL]" or True
+    assert pii.sanitise(documents([(1, row)])).first()["text"] == "see +[CARD] or [IP]"
     found = spans(documents([(1, row)]))[1]
     assert found == private_spans(row)
 
