@@ -10,7 +10,7 @@ from compare import duck, same
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridtally.llm import chat, decontamination, multi_index, queries, url_filters
+from gridtally.llm import chat, decontamination, multi_index, order_minhash, pii, quality, queries, url_filters
 
 SF = "/root/testdata/sf0.001"
 
@@ -252,3 +252,88 @@ def test_pipeline_without_documents(shared, tmp_path):
         stage(shared, docs, SF).write.parquet(str(tmp_path / str(k)))
         docs = shared.read.parquet(str(tmp_path / str(k)))
     assert docs.count() == 0
+
+
+# Columns of the input
+
+def clashing(documents, rows, names):
+    """Documents with further columns, each with a value of its own."""
+    df = documents(rows)
+    return df.withColumns({n: F.lit(f"own {n}") for n in names})
+
+
+CLASHES = ["_id", "_hash", "_held", "label", "_name", "_row", "_token", "_kind", "_regex", "_rank", "_in", "node", "key", "keys",
+           "component", "term", "email", "_spans", "_new", "_own_email"]
+
+
+def own_values(rows):
+    return all(r[n] == f"own {n}" for r in rows for n in CLASHES)
+
+
+def test_columns_of_any_name_are_kept(shared, documents):
+    words = [f"w{i}" for i in range(30)]
+    rows = [(i, " ".join(words[i % 3:])) for i in range(6)] + [(9, "mail me at a@b.cd"), (10, None)]
+    docs = clashing(documents, rows, CLASHES)
+    labels = shared.createDataFrame([(i, i % 2) for i in range(6)], "doc_id bigint, quality int")
+    scored = quality.classify(docs, labels)
+    assert scored.columns == [*docs.columns, "score", "predicted"] and own_values(scored.collect())
+    kept = order_minhash.keep_one(docs)
+    assert kept.columns == docs.columns and own_values(kept.collect()) and kept.count() < len(rows)
+    assert own_values(decontamination.remove_contaminated(docs, documents([(1, rows[0][1])]).withColumnRenamed("doc_id", "item_id")).collect())
+    done = pii.sanitise(docs)
+    assert done.columns == docs.columns and own_values(done.collect())
+    assert {r["doc_id"]: r["text"] for r in done.collect()}[9] == "mail me at [EMAIL]"
+    pages = docs.select("doc_id", F.lit("http://a.org/x").alias("url"), *CLASHES)
+    judged = url_filters.judge_urls(pages)
+    assert judged.columns == [*pages.columns, "host", "path", "rule", "pattern", "verdict"] and own_values(judged.collect())
+
+
+def test_terms_with_columns_of_any_name(documents):
+    """As above where a word discloses an entity, so that documents are joined with their words."""
+    filler = [f"x{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}" for i in range(60)]
+    rows = [(i, " ".join(filler[i:i + 12])) for i in range(40)]
+    rows += [(100, "one two Quibbelor mail zz@corp.example three"), (101, "four five Quibbelor write zz@corp.example six")]
+    docs = clashing(documents, rows, CLASHES)
+    found = pii.find_private(docs.drop("term", "email"))
+    marked = {r["doc_id"]: len(r["term"]) for r in found.collect()}
+    assert marked[100] == marked[101] == 1
+    assert all(r["_id"] == "own _id" and r["_held"] == "own _held" for r in found.collect())
+
+
+def test_contracted_components(shared):
+    """Chains, stars and rings against a plain search; names may be any node of the component."""
+    from gridtally.llm.common import contracted, further_contracted
+
+    rng = random.Random(4)
+    names = [f"{rng.random():.12f}" for _ in range(400)]
+    edges = [(names[i], names[i + 1]) for i in range(150)] + [(names[200], names[i]) for i in range(201, 260)]
+    edges += [(names[i], names[300 + (i + 1) % 20]) for i in range(300, 320)] + [(names[399], names[399])]
+
+    def plainly(some):
+        parent = {n: n for e in some for n in e}
+
+        def root(n):
+            while parent[n] != n:
+                n = parent[n]
+            return n
+        for a, b in some:
+            parent[root(a)] = root(b)
+        groups = {}
+        for n in parent:
+            groups.setdefault(root(n), set()).add(n)
+        return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+    def grouped(labels):
+        groups = {}
+        for r in labels.collect():
+            groups.setdefault(r["component"], set()).add(r["node"])
+        assert all(name in g for name, g in groups.items())
+        return {frozenset(g) for g in groups.values()}
+
+    frame = lambda some: shared.createDataFrame(some, "a string, b string")
+    labels = contracted(frame(edges))
+    assert grouped(labels) == plainly(edges)
+    more = [(names[0], names[200]), (names[5], names[399]), (names[398], names[397]), (names[1], names[2])]
+    assert grouped(further_contracted(labels, frame(more))) == plainly(edges + more)
+    assert contracted(frame(edges).limit(0)).collect() == []
+    assert grouped(further_contracted(labels, frame(edges).limit(0))) == plainly(edges)
