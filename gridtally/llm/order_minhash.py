@@ -193,24 +193,35 @@ def _verify(least: float):
     return run
 
 
-def _likely(rule: Near):
-    """Pairs of some blocks of buckets: different components, profiles near enough."""
+def _likely(rule: Near, best: bool = False):
+    """Pairs of some blocks of buckets: different components, profiles near enough.  ``best`` gives the nearest one of each text only."""
     least = rule.similarity - rule.margin
 
+    def ones(flags: np.ndarray) -> np.ndarray:
+        """Number of true values in each row; PROFILE / 8 bytes are added at a time, which stay below 256."""
+        return flags.view(np.uint64).sum(axis=1).view(np.uint8).reshape(-1, 8).sum(axis=1, dtype=np.int64)
+
     def of_block(nodes, parts, profiles, keys, key, mine, theirs):
         here, there = np.flatnonzero(mine), np.flatnonzero(theirs)
-        known = profiles[there] != 0
-        held = known.sum(axis=1)
+        beside = np.ascontiguousarray(profiles[there])
+        known = beside != 0
+        held = ones(known)
         for i in here:
-            other = np.flatnonzero(parts[there] != parts[i])
-            if len(other):
-                own = profiles[i]
-                equal = np.count_nonzero((profiles[there[other]] == own) & known[other], axis=1)
-                both = np.count_nonzero(known[other] & (own != 0), axis=1)
-                near = other[equal >= least * (held[other] + np.count_nonzero(own) - both)]
+            own = profiles[i]
+            filled = own != 0
+            equal, both = ones((beside == own) & filled), ones(known & filled)
+            either = held + np.count_nonzero(filled) - both
+            near = np.flatnonzero((equal >= least * either) & (parts[there] != parts[i]))
+            if not len(near):
+                continue
+            if best:
+                named = there[near[[np.argmax(equal[near] / either[near])]]]
+                yield from ((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])) for j in named)
+            else:
                 # A pair shares many buckets; it is named in that of its first common sketch.
-                common = keys[there[near]] == keys[i]
-                named = there[near][keys[i][common.argmax(axis=1)] == key] if len(near) else near
+                near = there[near]
+                common = keys[near] == keys[i]
+                named = near[keys[i][common.argmax(axis=1)] == key]
                 yield from ((nodes[i], nodes[j]) for j in named if nodes[i] < nodes[j])
 
     def run(frame):
@@ -239,9 +250,9 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     ``n_texts`` the different texts of the class, ``text_hash`` is xxhash64 of the text.
 
     Candidates share one of 20 sketches, which a pair at 0.8 misses once in a million.  Documents with the same words are one
-    text; a group of near copies is joined through a star in each of a few buckets of a text, then through one text of each component
-    that the other buckets still hold, and what then is still apart is compared block by block, by profiles first.  So the
-    number of verified pairs follows the links, not the square of a group.
+    text; a group of near copies is joined through a star in each of a few buckets of a text, then through the nearest texts of
+    other components, and what then is still apart is compared block by block, by profiles first.  So the number of
+    verified pairs follows the links, not the square of a group.
 
     Null and empty texts, and texts of white space, are copies of one another.  Texts of fewer than five words match
     whole.  Repeated rows are copies.  A null doc_id never names a class that has another.  Other columns are not
@@ -277,24 +288,24 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     def links_of(tested: DataFrame) -> DataFrame:
         return tested.where(F.col("similarity") >= rule.similarity).select("a", "b")
 
-    # A few buckets of a text connect most of a group; in the others only what then is still apart is looked at, one text
-    # of each component: against the bucket's least and its greatest one, and then all others by blocks.
+    # A few buckets of a text connect most of a group that is alike throughout.  What then is still apart is compared by profiles,
+    # block by block: first the nearest text of another component is tried, which connects copies with what they
+    # were made from, and then all pairs that are left.
     tested = verified(star(members.where(F.col("at") < FIRST_BUCKETS), "low").distinct())
     labels = contracted(links_of(tested))
-    ends = (_with_component(members, labels).groupBy("key", "component").agg(F.min("node").alias("node")))
-    of_bucket = ends.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    ends = checkpoint(ends.join(of_bucket, "key"))
-    again = star(ends, "low").union(star(ends, "high")).distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    tested_again = verified(again)
-    labels = further_contracted(labels, links_of(tested_again))
-    apart = checkpoint(_apart(members, labels, rule))
-    # Blocks are dealt out by their hash, many small ones in a call, and as many calls as the rows need.
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-apart.count() // ROWS_OF_BLOCKS))
-    dealt = apart.join(packed.select("node", "keys", "profile"), "node").withColumn(
-        "block", F.xxhash64("key", "row_block", "column_block")).withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
-    known = tested.select("a", "b").union(tested_again.select("a", "b"))
-    likely = dealt.groupBy("part").applyInPandas(_likely(rule), "a binary, b binary").distinct().join(known, ["a", "b"], "left_anti")
-    labels = further_contracted(labels, links_of(verified(likely)))
+    tested = tested.select("a", "b")
+    for best in (True, False):
+        apart = checkpoint(_apart(members, labels, rule))
+        # Blocks are dealt out by their hash, many small ones in a call, and as many calls as the rows need.
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-apart.count() // ROWS_OF_BLOCKS))
+        dealt = apart.join(packed.select("node", "keys", "profile"), "node").withColumn(
+            "block", F.xxhash64("key", "row_block", "column_block")).withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
+        likely = dealt.groupBy("part").applyInPandas(_likely(rule, best), "a binary, b binary").distinct()
+        more = verified(likely.join(tested, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            continue
+        tested = tested.union(more.select("a", "b"))
+        labels = further_contracted(labels, links_of(more))
 
     classed = checkpoint(
         seen.groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
