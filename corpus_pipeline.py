@@ -13,16 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally.llm import decontamination, order_minhash, packing, pii, quality
-from gridtally.llm.common import id_bucket, shared_folder, table
+from gridtally.llm.common import fresh, id_bucket, shared_folder, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labelled ones outside the held-out third."""
     learn_from = F.coalesce(id_bucket(F.col("doc_id"), 3) != 1, F.lit(False))
-    scored = quality.classify(docs.withColumnsRenamed({"score": "_score", "predicted": "_predicted"}),
-                              table(spark, sf_dir, "labels"), learn_from)
-    return scored.where(F.col("predicted") == 1).drop("score", "predicted").withColumnsRenamed(
-        {"_score": "score", "_predicted": "predicted"})
+    own = [c for c in docs.columns if c.lower() in ("score", "predicted")]
+    aside = dict(zip(own, fresh(docs, *[f"_{c}" for c in own]), strict=True))
+    scored = quality.classify(docs.withColumnsRenamed(aside), table(spark, sf_dir, "labels"), learn_from)
+    good = scored.where(F.col("predicted") == 1).drop("score", "predicted")
+    return good.withColumnsRenamed({v: k for k, v in aside.items()})
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
