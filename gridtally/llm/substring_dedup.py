@@ -9,7 +9,6 @@ hashed whole, and all but the first of equal windows are removed.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -22,17 +21,19 @@ PERIOD, COVER = 13, (0, 1, 3, 9)
 ANCHOR = WINDOW - PERIOD + 1
 #: Sorts after every document that has an id.
 NO_ID = 2**63 - 1
+#: Bytes of texts for which there is a bucket: some 800,000 anchors.
+BYTES_PER_BUCKET = 1 << 24
 _PARTS = "bucket int, kind int, h binary, doc binary, at binary, tag binary"
 _FLAGS = "doc bigint, tag int, at int"
 
 
 def _rows(h, doc, at, tag, buckets: int, kind: int) -> Iterator[tuple]:
-    """One row per bucket of hashes, its entries sorted by hash; entries without a hash go by their document."""
+    """One row per bucket of hashes, its entries sorted by hash; entries without a hash go by their row."""
     import numpy as np
 
     from gridtally.llm.wordhash import mix, planes, runs
 
-    key = h if kind == 0 else mix(doc.view(np.uint64))
+    key = h if kind == 0 else mix(doc.view(np.uint64) ^ mix(tag.astype(np.uint64)))
     bucket = (key % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((at, doc, h, bucket)) if kind == 0 else np.lexsort((at, doc, bucket))
     first, count = runs(bucket[order])
@@ -42,11 +43,6 @@ def _rows(h, doc, at, tag, buckets: int, kind: int) -> Iterator[tuple]:
                planes(at[own]), planes(tag[own]))
 
 
-def tag_of(text: bytes) -> int:
-    """Tells rows of the same id apart."""
-    return zlib.crc32(text) - 2**31
-
-
 def _frame(rows: list[tuple]):
     import pandas as pd
 
@@ -84,15 +80,15 @@ def _anchors(buckets: int):
 
         for f in frames:
             docs, texts = f["doc"].to_numpy(np.int64), [t.encode() for t in f["text"]]
+            tags = f["tag"].to_numpy(np.int32)
             for s in batches([len(t) for t in texts]):
                 words = Words(texts[s])
                 counts = words.counts()
                 place = np.arange(len(words.hashes)) - np.repeat(words.first[:-1], counts)
                 left = np.repeat(counts, counts) - place
                 at = np.flatnonzero(np.isin(place % PERIOD, COVER) & (left >= ANCHOR) & (np.repeat(counts, counts) >= WINDOW))
-                doc = np.repeat(docs[s], counts)[at]
+                doc, tag = np.repeat(docs[s], counts)[at], np.repeat(tags[s], counts)[at]
                 h, place = words.windows(at, ANCHOR), place[at].astype(np.int32)
-                tag = np.zeros(len(at), dtype=np.int32)
                 sent, known = _split(h, doc, place, tag, True)
                 yield _frame([*_rows(h[sent], doc[sent], place[sent], tag[sent], buckets, 0),
                               *_rows(h[known], doc[known], place[known], tag[known], buckets, 1)])
@@ -127,14 +123,14 @@ def _candidates(buckets: int):
 
         for f in frames:
             docs, texts = f["doc"].to_numpy(np.int64), [t.encode() for t in f["text"]]
-            tags = np.array([tag_of(t) for t in texts], dtype=np.int32)
+            tags = f["tag"].to_numpy(np.int32)
             for s in batches([len(t) for t in texts]):
                 words = Words(texts[s])
                 marked = np.zeros(len(words.hashes) + 1, dtype=np.int32)
                 for d, places in enumerate(f["anchors"].iloc[s]):
                     begin, n = words.first[d], words.first[d + 1] - words.first[d]
                     p = np.asarray(places)
-                    p = p[p + ANCHOR <= n]  # those of another row with this id may reach beyond
+                    p = p[p + ANCHOR <= n]  # those of another text with this id and tag may reach beyond
                     np.add.at(marked, begin + np.maximum(p - PERIOD + 1, 0), 1)
                     np.add.at(marked, begin + p + 1, -1)
                 counts = words.counts()
@@ -154,12 +150,13 @@ def _cut(frames: Iterator) -> Iterator:
 
     for f in frames:
         kept, words_of, gone, spans = [], [], [], []
-        for text, tags, starts in zip(f["text"], f["tags"], f["starts"], strict=True):
+        for text, starts in zip(f["text"], f["starts"], strict=True):
             text = text.encode()
             words = text.split()
             covered = np.zeros(len(words) + 1, dtype=np.int32)
             if starts is not None:
-                p = np.asarray(starts)[np.asarray(tags) == tag_of(text)]
+                p = np.asarray(starts)
+                p = p[p + WINDOW <= len(words)]
                 np.add.at(covered, p, 1)
                 np.add.at(covered, p + WINDOW, -1)
             covered = np.cumsum(covered) > 0
@@ -191,19 +188,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ship(spark)
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Both joins below read the same two columns by the same key, so that the texts are shuffled once.
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), text_or_empty().alias("text"))
+    # A tag tells rows of one id apart, and spreads those without an id.
+    text = text_or_empty()
+    tag = (F.crc32(text.cast("binary")) - F.lit(2**31)).cast("int").alias("tag")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), tag, text.alias("text"))
+    # A bucket is held whole by a task, so their number follows the texts.
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BYTES_PER_BUCKET))
 
     def flagged(parts: DataFrame, all_repeats: bool) -> DataFrame:
         return parts.groupBy("bucket").applyInPandas(_flag(all_repeats), _FLAGS)
 
+    # Both joins below read the same columns by the same key, so that the texts are shuffled once.
     anchors = flagged(rows.mapInPandas(_anchors(buckets), _PARTS), True)
-    anchors = anchors.groupBy("doc").agg(F.collect_set("at").alias("anchors"))
-    near = rows.join(anchors, "doc")
+    anchors = anchors.groupBy("doc", "tag").agg(F.collect_set("at").alias("anchors"))
+    near = rows.join(anchors, ["doc", "tag"])
     windows = flagged(near.mapInPandas(_candidates(buckets), _PARTS), False)
-    windows = windows.groupBy("doc").agg(F.collect_list(F.struct("tag", "at")).alias("w"))
-    whole = rows.join(windows, "doc", "left").select("doc", "text", F.col("w.tag").alias("tags"), F.col("w.at").alias("starts"))
+    windows = windows.groupBy("doc", "tag").agg(F.collect_list("at").alias("starts"))
+    whole = rows.join(windows, ["doc", "tag"], "left").select("doc", "text", "starts")
     done = whole.mapInPandas(
         _cut, "doc bigint, text string, n_words bigint, n_removed bigint, removed array<struct<start:int,end:int>>")
     return done.select(F.nullif("doc", F.lit(NO_ID)).alias("doc_id"), "text", "n_words", "n_removed", "removed")

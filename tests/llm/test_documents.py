@@ -1,6 +1,7 @@
 """Operators on documents against plain versions, and the odd inputs each of them must bear."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -92,6 +93,17 @@ def test_repeats_odd_rows(documents, shared):
     assert sorted((r["doc_id"], r["n_removed"]) for r in repeats(two)) == [(1, 0), (2, 0), (2, 40)]
 
 
+def test_rows_without_an_id_spread_by_text(documents):
+    """Passages at other places go from all but the first; the rows are dealt out by their texts."""
+    passage = text(5, 25)
+    rows = [(None, " ".join(f"own{i}x{j}" for j in range(i % 7 + 1)) + " " + passage) for i in range(60)] + [(3, passage)]
+    done = substring_dedup.remove_repeats(documents(rows))
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc" in plan and not re.search(r"hashpartitioning\(doc#\d+L?, \d", plan)
+    got = done.collect()
+    assert sorted({(r["doc_id"] is None, r["n_removed"]) for r in got}) == [(False, 0), (True, 25)] and len(got) == 61
+
+
 def test_repeated_ranges(documents):
     rows = [(1, text(1, 50)), (2, "new words " + text(1, 30) + " at the end")]
     second = next(r for r in repeats(documents(rows)) if r["doc_id"] == 2)
