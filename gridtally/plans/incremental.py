@@ -6,6 +6,7 @@ running total and number of days.  New hours are added; the months that new days
 ones; nothing else is read or written.
 """
 
+import re
 from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -111,7 +112,7 @@ def last_days(days: DataFrame, options: Options) -> DataFrame:
 def last_totals(days: DataFrame, options: Options) -> DataFrame:
     """The last daily rows of every client and meter, enough for the rolling means and one day more, which may be incomplete."""
     newest = Window.partitionBy(*METER_KEY).orderBy(F.desc("date_local"))
-    return (days.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= max([*options.rolling_days, 1]))
+    return (days.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= max([*options.rolling_days, 2]))
             .select(*METER_KEY, *DAY_COLUMNS, (F.col("_place") == 1).alias("latest")))
 
 
@@ -134,7 +135,8 @@ class Run:
         self.folders[table] = versions.folders_of(self.spark, self.root, table, self.id, partition_by)
         found = versions.open_folders(self.spark, self.root, table, self.folders[table])
         stored = self.spark.createDataFrame([], df.schema) if found is None else found.select(*df.columns)
-        self.rows[table] = stored.count()  # from the files' footers
+        if table not in (TOTALS_TABLE, LAST_DAYS_TABLE):
+            self.rows[table] = stored.count()  # from the files' footers
         return stored
 
     def publish(self) -> versions.Manifest:
@@ -171,6 +173,7 @@ def write_new(run: Run, placed: DataFrame) -> dict[str, int]:
     days = plain.withColumn(CONTEXT, F.lit(False)).unionByName(touched.select(*plain.columns).withColumn(CONTEXT, F.lit(True)))
     hours = hourly_table(days, options, keep=[CONTEXT], seen=counts.of(days)).where(~F.col(CONTEXT)).drop(CONTEXT)
     run.write(hours, HOURLY_TABLE)
+    new_hours = run.folders[HOURLY_TABLE]
     run.folders[HOURLY_TABLE] = [*before.folders[HOURLY_TABLE], *run.folders[HOURLY_TABLE]]
 
     wide = hours_with_time(days, options, keep=[CONTEXT])
@@ -191,7 +194,9 @@ def write_new(run: Run, placed: DataFrame) -> dict[str, int]:
         .transform(categorize_daily_consumption, options.bins, options.labels)
         .withColumn(STORED_MONTH, _month_key("date_local"))
     )
-    months = {str(r[0]) for r in added.select(STORED_MONTH).distinct().collect()}  # as many as the calendar has
+    # The months of new hours, as the folders just written tell; a day without any new hour doesn't change.
+    months = {str(int(year) * 100 + int(month)) for year, month in
+              (re.findall(r"=(\d+)", versions.partition_of(f)) for f in new_hours if "__HIVE" not in f)}
     again = [f for f in before.folders[DAILY_TABLE] if versions.partition_of(f).removeprefix(f"{STORED_MONTH}=") in months]
     old = versions.open_folders(run.spark, run.root, DAILY_TABLE, again)
     if old is not None:
