@@ -377,21 +377,21 @@ def repeated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(spark, months.join(last, "ext_dev_ref"), root)
 
 
-def _after_three_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The stored tables after a run over the first days, and two over new ones alone.
+def _after_runs(spark: SparkSession, sf_dir: str, runs: int) -> dict[str, DataFrame]:
+    """The stored tables after a run over the first days, and others over new ones alone.
 
-    Every third meter comes up in the second run, every fifth ends in the first; the others' days are cut in three.
+    Every third meter comes up in the second run, every fifth ends in the first; the others' days are cut in ``runs`` parts.
     """
     root = working_folder(spark)
     raw = meter_raw(spark, sf_dir)
     number = F.regexp_extract("ext_dev_ref", "[0-9]+", 0).cast("int")
     first = raw.groupBy("ext_dev_ref").agg(F.min("date").alias("first"))
     day = F.datediff("date", "first")
-    part = F.when(number % 5 == 4, 0).when(number % 3 == 2, F.when(day < 18, 1).otherwise(2)).otherwise(
-        F.when(day < 11, 0).when(day < 23, 1).otherwise(2))
+    cut = F.when(day < 11, 0).when(day < 23, 1).otherwise(2)
+    part = F.least(F.when(number % 5 == 4, 0).when(number % 3 == 2, F.greatest(cut, F.lit(1))).otherwise(cut), F.lit(runs - 1))
     parts = raw.join(first, "ext_dev_ref").withColumn("part", part).drop("first").select(*raw.columns, "part")
     tables = {}
-    for k in range(3):
+    for k in range(runs):
         folder = table_path(root, f"input/{k}")
         parts.where(F.col("part") == k).drop("part").write.parquet(folder)
         tables = run_etl(spark, f"{folder}/*.parquet", None, table_path(root, "tables"), OPTIONS, if_exists="append")
@@ -399,16 +399,16 @@ def _after_three_runs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def incremental_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hours = _after_three_runs(spark, sf_dir)["meter_hourly"]
+    hours = _after_runs(spark, sf_dir, 2)["meter_hourly"]
     return _rounded(hours, "rolling_mean_24h", "rolling_std_24h")
 
 
 def incremental_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(_after_three_runs(spark, sf_dir)["meter_daily"], *_DAILY_ROUNDED)
+    return _rounded(_after_runs(spark, sf_dir, 3)["meter_daily"], *_DAILY_ROUNDED)
 
 
 def incremental_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _after_three_runs(spark, sf_dir)["meter_monthly"]
+    return _after_runs(spark, sf_dir, 2)["meter_monthly"]
 
 
 def meter_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:

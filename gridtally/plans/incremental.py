@@ -7,6 +7,7 @@ ones; nothing else is read or written.
 """
 
 import re
+from collections import Counter
 from dataclasses import fields
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -213,3 +214,21 @@ def write_new(run: Run, placed: DataFrame) -> dict[str, int]:
     run.write(last_totals(others.select(*METER_KEY, *DAY_COLUMNS).unionByName(fresh.select(*METER_KEY, *DAY_COLUMNS)), options), TOTALS_TABLE)
     run.write(last_days(new.unionByName(old_days.select(*new.columns)), options), LAST_DAYS_TABLE)
     return counts.checked(plain, run.rows[HOURLY_TABLE])
+
+
+def compact(spark: SparkSession, root: str, most: int = 8) -> versions.Manifest | None:
+    """Write the months of hours that lie in more than ``most`` folders, one for each run that added to them, into one each.
+
+    The rows stay the same and so do the other tables; None where no month has so many folders.  The old folders stay for readers that
+    have them open, until ``versions.drop_unreferenced``.
+    """
+    before = versions.current(spark, root)
+    hours = list(before.folders[HOURLY_TABLE]) if before else []
+    count = Counter(map(versions.partition_of, hours))
+    parts = [f for f in hours if count[versions.partition_of(f)] > most]
+    if not parts:
+        return None
+    run = Run(spark, root, Options(), before)
+    run.write(versions.open_folders(spark, root, HOURLY_TABLE, parts), HOURLY_TABLE)
+    folders = {**before.folders, HOURLY_TABLE: versions.replaced(hours, run.folders[HOURLY_TABLE])}
+    return versions.publish(spark, root, before, folders, before.options)

@@ -258,3 +258,18 @@ def test_parsing_is_a_small_plan(spark):
     texts = spark.createDataFrame([("2022-05-01T10:00:00+03:00",)], "text string")
     for df in (add_time_features_hourly(texts, "text"), unparsed_timestamps(texts, "text")):
         assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 40_000
+
+
+def test_months_of_many_runs_become_one_folder(spark, tmp_path):
+    year, root = golden_year(spark), str(tmp_path / "tables")
+    for k, (a, b) in enumerate((("05-01", "05-20"), ("05-21", "05-25"), ("05-26", "06-03"))):
+        tables = add(spark, tmp_path, str(k), year.where(f"date BETWEEN '2022-{a}' AND '2022-{b}'"))
+    want = sorted(tables["meter_hourly"].collect())
+    assert incremental.compact(spark, root, most=3) is None
+    incremental.compact(spark, root, most=2)
+    parts = [versions.partition_of(f) for f in versions.current(spark, root).folders["meter_hourly"]]
+    assert sorted(parts) == ["year=2022/month=4", "year=2022/month=5", "year=2022/month=6"]
+    assert sorted(open_tables(spark, root)["meter_hourly"].collect()) == want
+    versions.drop_unreferenced(spark, root)
+    later = add(spark, tmp_path, "later", year.where("date = '2022-06-04'"))
+    same_rows(later["meter_hourly"], BuiltTables(year.where("date BETWEEN '2022-05-01' AND '2022-06-04'"))["meter_hourly"])
