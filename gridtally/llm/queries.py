@@ -137,7 +137,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(id_bucket(F.col("doc_id"), 10) == 0, F.lit(False))
     model, words = context_mixing.train(docs.where(~held_out))
-    return context_mixing.score(docs, model, words).withColumn("held_out", held_out)
+    return context_mixing.score(docs, model, words, trained=~held_out).withColumn("held_out", held_out)
 
 
 def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
