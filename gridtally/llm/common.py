@@ -54,10 +54,10 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """``df`` as a Parquet table below the shared folder, which is compressed, unlike a checkpoint."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
