@@ -61,11 +61,6 @@ def stored(df: DataFrame, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished jobs whose tables are stored: it does so when the driver's heap is cleaned."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until no column of ``df`` has them."""
     taken, out = {c.lower() for c in df.columns}, []
