@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridtally.llm.common import checkpoint, contracted, fresh, further_contracted, ship, text_or_empty
+from gridtally.llm.common import checkpoint, contracted, fresh, further_contracted, gathered, ship, text_or_empty
 from gridtally.llm.wordhash import Words, batches, mix, numbers, runs
 
 #: Words of a k-mer, k-mers of a sketch, sketches of a document.
@@ -268,6 +268,8 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     keyed = texts.select("node", F.posexplode("keys").alias("at", "key"))
     shared = checkpoint(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"))
     members = checkpoint(keyed.join(shared, "key"))
+    n_members = members.count()
+    members = gathered(members, n_members)
     firsts = members.select("node").distinct().join(texts, "node").select(
         "node", "keys", F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash"))
     packed = checkpoint(
@@ -278,8 +280,9 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     def verified(pairs: DataFrame) -> DataFrame:
         left = packed.select(F.col("node").alias("a"), F.col("packed").alias("left"))
         right = packed.select(F.col("node").alias("b"), F.col("packed").alias("right"))
-        return checkpoint(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(
+        out = checkpoint(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInPandas(
             _verify(rule.similarity), "a binary, b binary, similarity double"))
+        return gathered(out, out.count())
 
     def star(rows: DataFrame, column: str) -> DataFrame:
         return rows.where(F.col("node") != F.col(column)).select(
@@ -295,10 +298,11 @@ def near_classes(docs: DataFrame, rule: Near = Near()) -> DataFrame:
     labels = contracted(links_of(tested))
     tested = tested.select("a", "b")
     for best in (True, False):
-        apart = checkpoint(_apart(members, labels, rule))
+        apart = checkpoint(_apart(members, n_members, labels, rule))
         # Blocks are dealt out by their hash, many small ones in a call, and as many calls as the rows need.
-        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-apart.count() // ROWS_OF_BLOCKS))
-        dealt = apart.join(packed.select("node", "keys", "profile"), "node").withColumn(
+        n_apart = apart.count()
+        parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_apart // ROWS_OF_BLOCKS))
+        dealt = gathered(apart, n_apart).join(packed.select("node", "keys", "profile"), "node").withColumn(
             "block", F.xxhash64("key", "row_block", "column_block")).withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
         likely = dealt.groupBy("part").applyInPandas(_likely(rule, best), "a binary, b binary").distinct()
         more = verified(likely.join(tested, ["a", "b"], "left_anti"))
@@ -322,9 +326,12 @@ def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _apart(members: DataFrame, labels: DataFrame, rule: Near) -> DataFrame:
-    """(key, node, component, own, row_block, column_block): buckets with texts of several components, by blocks."""
-    known = checkpoint(_with_component(members, labels))
+def _apart(members: DataFrame, rows: int, labels: DataFrame, rule: Near) -> DataFrame:
+    """(key, node, component, own, row_block, column_block): buckets with texts of several components, by blocks.
+
+    ``rows`` is the number of members.
+    """
+    known = checkpoint(gathered(_with_component(members, labels), rows))
     mixed = checkpoint(known.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("size"))
         .where("least < most").select("key", F.ceil(F.col("size") / rule.block).cast("int").alias("blocks")))
