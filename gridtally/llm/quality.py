@@ -38,6 +38,8 @@ STRUCTURE = ("empty", "length", "mean_word", "long_words", "distinct", "repeated
 METADATA = ("chars_given", "chars_differ")
 #: Parts of a structure value: its feature has the place of the part it falls in, and so needs no scaling.
 PARTS = 12
+#: Rows of the sample whose features and gradients are held at a time.
+BLOCK = 256
 _PUNCTUATION, _SYMBOLS = b".,;:!?'\"()-", b"#$%&*+/<=>@[\\]^_`{|}~"
 
 
@@ -91,20 +93,26 @@ class Machine:
         return self.bias + np.add.reduceat(self.linear[index] * value, first) + pairs, sums
 
     def fit(self, index, value, first, label, rule: Training) -> None:
-        """Adam over the whole sample; both classes weigh the same."""
-        size = len(self.linear)
-        rows = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(index))))
+        """Adam over the whole sample, of which each step goes through BLOCK rows at a time; both classes weigh the same."""
+        ends = np.append(first, len(index))
         weight = np.where(label == 1, 0.5 / max((label == 1).sum(), 1), 0.5 / max((label == 0).sum(), 1))
         state = [(np.zeros_like(x), np.zeros_like(x)) for x in (np.zeros(1), self.linear, self.factors)]
         for step in range(1, rule.rounds + 1):
-            z, sums = self.logits(index, value, first)
-            error = (1 / (1 + np.exp(-z)) - label) * weight
-            e = error[rows] * value
-            inner = e[:, None] * (sums[rows] - self.factors[index] * value[:, None])
-            slopes = [np.array([error.sum()]),
-                      np.bincount(index, e, size) + rule.penalty * self.linear,
-                      np.stack([np.bincount(index, inner[:, k], size) for k in range(inner.shape[1])], axis=1)
-                      + rule.penalty * self.factors]
+            errors, linear, factors = [], np.zeros_like(self.linear), np.zeros(self.factors.shape[::-1])
+            for b in range(0, len(first), BLOCK):
+                of = slice(b, b + BLOCK)
+                here = slice(first[b], ends[min(b + BLOCK, len(first))])
+                i, v = index[here].astype(np.int64), value[here].astype(np.float64)
+                z, sums = self.logits(i, v, first[of] - first[b])
+                errors.append((1 / (1 + np.exp(-z)) - label[of]) * weight[of])
+                rows = np.repeat(np.arange(len(z)), np.diff(ends[b:b + BLOCK + 1]))
+                e = errors[-1][rows] * v
+                inner = e[:, None] * (sums[rows] - self.factors[i] * v[:, None])
+                np.add.at(linear, i, e)
+                for k, slope in enumerate(factors):
+                    np.add.at(slope, i, inner[:, k])
+            slopes = [np.array([np.concatenate(errors).sum()]), linear + rule.penalty * self.linear,
+                      factors.T + rule.penalty * self.factors]
             moves = []
             for g, (m, v) in zip(slopes, state, strict=True):
                 m *= 0.9
@@ -121,8 +129,8 @@ def _featurise(buckets: int):
     def run(frames: Iterator) -> Iterator:
         for f in frames:
             pairs = [features(t, n, buckets) for t, n in zip(f["text"], f["n_chars"], strict=True)]
-            yield pd.DataFrame({"label": f["label"], "order": f["order"], "index": [p[0].astype(np.int32) for p in pairs],
-                                "value": [p[1].astype(np.float32) for p in pairs]})
+            yield pd.DataFrame({"label": f["label"], "order": f["order"], "index": [p[0].astype(np.int32).tobytes() for p in pairs],
+                                "value": [p[1].astype(np.float32).tobytes() for p in pairs]})
     return run
 
 
@@ -155,13 +163,13 @@ def fit(docs: DataFrame, labels: DataFrame, rule: Training = Training()) -> Mach
         .select("r.*", F.xxhash64("_id").alias("order"))
     )
     rows = sample.mapInPandas(
-        _featurise(rule.buckets), "label int, order bigint, index array<int>, value array<float>").collect()
+        _featurise(rule.buckets), "label int, order bigint, index binary, value binary").collect()
     machine = Machine(rule.buckets + PARTS * (len(STRUCTURE) + len(METADATA)), rule.rank, rule.seed)
     if rows:
         rows.sort(key=lambda r: r["order"])
-        index = np.concatenate([np.array(r["index"], dtype=np.int64) for r in rows])
-        value = np.concatenate([np.array(r["value"], dtype=np.float64) for r in rows])
-        first = np.cumsum([0] + [len(r["index"]) for r in rows[:-1]])
+        index = np.frombuffer(b"".join(r["index"] for r in rows), dtype=np.int32)
+        value = np.frombuffer(b"".join(r["value"] for r in rows), dtype=np.float32)
+        first = np.cumsum([0] + [len(r["index"]) // index.itemsize for r in rows[:-1]])
         machine.fit(index, value, first, np.array([r["label"] for r in rows], dtype=np.float64), rule)
     return machine
 

@@ -395,6 +395,22 @@ def test_gradient_by_differences():
     assert loss(machine) < 0.5 * before
 
 
+def test_fit_holds_a_block_of_the_sample_at_a_time():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    first, label = np.arange(0, 400_000, 200), rng.integers(0, 2, 2000).astype(float)
+    index, value = rng.integers(0, 1000, 400_000).astype(np.int32), rng.random(400_000).astype(np.float32)
+    machine = quality.Machine(1000, 4, seed=3)
+    tracemalloc.start()
+    try:
+        machine.fit(index, value, first, label, quality.Training(rounds=2))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 16e6  # all at once: 59 MB
+
+
 @pytest.fixture(scope="module")
 def judged(shared):
     rows = queries.op1_quality_classifier(shared, "/root/testdata/sf0.01").toPandas()
