@@ -551,3 +551,29 @@ def test_contexts_are_counted_exactly_however_many_there_are(shared, documents,
     got = {r["doc_id"]: r["bits_per_byte"] for r in context_mixing.score(docs, model, words).collect()}
     for (i, _), t, want in zip(rows, raw, -context_mixing.mixed_log2(model, raw), strict=True):
         assert got[i] == pytest.approx(want / (len(t) + 1), rel=1e-4)
+
+
+def test_a_chunk_goes_on_over_frames_and_is_scored_in_parts(documents, monkeypatch):
+    """Rows come 1000 at a time; contexts are sent once for a chunk, so that small ones would send and be answered far more."""
+    rows = [(i, text(i % 700, 12)) for i in range(2500)]
+    docs, tables = documents(rows).coalesce(1), []
+    keep = context_mixing.stored
+    monkeypatch.setattr(context_mixing, "stored", lambda df, *a: tables.append(keep(df, *a)) or tables[-1])
+    model, words = context_mixing.train(docs)
+    got = {r["doc_id"]: r["bits_per_byte"] for r in context_mixing.score(docs, model, words, trained=F.lit(True)).collect()}
+    assert [t.where("_blob is not null").count() for t in tables if "_blob" in t.columns] == [1]
+    raw = [t.encode() for _, t in rows[:700]]
+    for (i, t), want in zip(rows, -context_mixing.mixed_log2(model, raw), strict=False):
+        assert got[i] == pytest.approx(want / (len(t) + 1), rel=1e-4)
+
+    learned = np.arange(len(raw)) % 10 > 0
+    whole = context_mixing._pairs(raw, learned)
+    monkeypatch.setattr(context_mixing, "PIECE", 5000)
+    for a, b in zip(whole, context_mixing._pairs(raw, learned), strict=True):
+        assert (a == b).all()
+    pairs, n = context_mixing._pairs(raw, np.ones(len(raw), dtype=bool))
+    length = np.unique(pairs & ~context_mixing._SYMBOL, return_counts=True)[1]
+    monkeypatch.setattr(context_mixing, "MOST_CONTEXTS", len(length) // 4)
+    parts = context_mixing._mixed_chunk(model, raw, length, pairs & context_mixing._SYMBOL, n)
+    tables = [context_mixing.Table(model.code, model.mixer, pairs, n)] * context_mixing.PREDICTORS
+    assert parts == pytest.approx(context_mixing.mixed_log2(model, raw, tables), rel=1e-4)
