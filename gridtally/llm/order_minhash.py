@@ -25,6 +25,8 @@ from gridtally.llm.wordhash import Words, batches, mix, numbers, runs
 K, LENGTH, SKETCHES = 5, 3, 20
 #: Smallest hashes looked at for a sketch, on average; a document with fewer than LENGTH of them is looked at whole.
 EXPECTED = 24
+#: Bytes of texts hashed at a time; some 30 times as many are held meanwhile.
+BATCH = 1 << 19
 
 
 def labelled(words: Words, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +164,7 @@ class Near:
 def _sketch(frames: Iterator) -> Iterator:
     for f in frames:
         texts = [t.encode().lower() for t in f["text"]]
-        for s in batches([len(t) for t in texts]):
+        for s in batches([len(t) for t in texts], BATCH):
             words = Words(texts[s])
             h, first = labelled(words)
             keys = sketches(h, first).view(np.int64)
@@ -174,7 +176,7 @@ def _pack(frames: Iterator) -> Iterator:
     """Compressed words and a profile of each text."""
     for f in frames:
         texts = [t.encode().lower() for t in f["text"]]
-        for s in batches([len(t) for t in texts]):
+        for s in batches([len(t) for t in texts], BATCH):
             h, first = labelled(Words(texts[s]))
             yield pd.DataFrame({"node": f["node"].iloc[s], "keys": f["keys"].iloc[s], "packed": [zlib.compress(t, 1) for t in texts[s]],
                                 "profile": [profile(h[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]})
@@ -183,7 +185,7 @@ def _pack(frames: Iterator) -> Iterator:
 def _verify(least: float):
     def run(frames: Iterator) -> Iterator:
         for f in frames:
-            for s in batches([3 * (len(x) + len(y)) for x, y in zip(f["left"], f["right"], strict=True)]):
+            for s in batches([3 * (len(x) + len(y)) for x, y in zip(f["left"], f["right"], strict=True)], BATCH):
                 part = f.iloc[s]
                 n = len(part)
                 h, first = labelled(Words([zlib.decompress(x) for side in ("left", "right") for x in part[side]]))

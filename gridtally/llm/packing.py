@@ -20,7 +20,7 @@ from gridtally.llm.tokens import default_vocabulary, encoder
 
 OPEN_BINS = 1024
 #: Texts encoded and packed at a time.
-BATCH_CHARS = 1 << 22
+BATCH_CHARS = 1 << 20
 #: Tasks whose open bins meet in one task of the second round: the pieces of at most TOGETHER * OPEN_BINS bins.
 TOGETHER = 16
 

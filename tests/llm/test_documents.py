@@ -411,6 +411,36 @@ def test_fit_holds_a_block_of_the_sample_at_a_time():
     assert peak < 16e6  # all at once: 59 MB
 
 
+def test_workers_of_the_pipeline_hold_little():
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 10**9, 400))) for _ in range(1000)]
+    frame = pd.DataFrame({"doc_id": range(1000), "text_hash": range(1000), "text": texts})
+    list(order_minhash._sketch(iter([frame[:10]])))  # what is imported and kept for good
+    tracemalloc.start()
+    try:
+        rows = sum(len(f) for f in order_minhash._sketch(iter([frame])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 1000 and peak < 32e6  # 4 MB of texts at a time: 114 MB
+
+    encoder = Encoder(default_vocabulary())
+    tracemalloc.start()
+    try:
+        for i in range(0, 400_000, 50_000):
+            encoder.many([" ".join(f"w{n}" for n in range(i, i + 50_000))])
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 24e6  # with all 400,000 words: 53 MB
+    text = " ".join(f"w{n}" for n in range(399_000, 400_000))
+    assert encoder.many([text])[0] == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
 @pytest.fixture(scope="module")
 def judged(shared):
     rows = queries.op1_quality_classifier(shared, "/root/testdata/sf0.01").toPandas()
