@@ -11,7 +11,7 @@ from array import array
 
 #: Words kept per Python worker, some 200 bytes each, and how long they may be; frequent ones come early, later ones are encoded
 #: each time.  A worker keeps them for as long as it lives, also while it works for other operators.
-CACHED_PIECES, CACHED_CHARS = 100_000, 32
+CACHED_PIECES, CACHED_CHARS = 300_000, 32
 
 
 #: White space that doesn't leave every line feed and the word after every space to itself: a run that ends in neither of both,
