@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -607,3 +608,35 @@ def test_a_chunk_goes_on_over_frames_and_is_scored_in_parts(documents, monkeypat
     parts = context_mixing._mixed_chunk(model, raw, length, pairs & context_mixing._SYMBOL, n)
     tables = [context_mixing.Table(model.code, model.mixer, pairs, n)] * context_mixing.PREDICTORS
     assert parts == pytest.approx(context_mixing.mixed_log2(model, raw, tables), rel=1e-4)
+
+
+def test_a_chunk_holds_few_contexts_at_a_time(documents, monkeypatch):
+    """Two workers and an executor share 3000 MB: 256 bytes for each of a million contexts, beside the answers, were too much."""
+    rng = random.Random(3)
+    fresh = lambda: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(200)).encode()
+    model, _ = context_mixing.train(documents([(i, text(i, 30)) for i in range(20)]))
+
+    def scored(raw):
+        """Scores of these texts as a chunk of their own, and the most megabytes taken meanwhile."""
+        pairs, n = context_mixing._pairs(raw, np.ones(len(raw), dtype=bool))
+        length = np.unique(pairs & ~context_mixing._SYMBOL, return_counts=True)[1].astype(np.uint16)
+        tracemalloc.start()
+        try:
+            got = context_mixing._mixed_chunk(model, raw, length, (pairs & context_mixing._SYMBOL).astype(np.uint16), n)
+            peak = tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+        return got, [context_mixing.Table(model.code, model.mixer, pairs, n)] * 3, peak
+
+    raw = [fresh() for _ in range(500)]
+    got, tables, peak = scored(raw)
+    assert got == pytest.approx(context_mixing.mixed_log2(model, raw, tables), rel=1e-4)
+    assert len(tables[0].contexts) > 1_000_000 and peak < 200
+    # All new contexts in a few of the texts: parts of as many bytes would not have as many contexts.
+    raw = [fresh() for _ in range(40)] + [raw[0]] * 200
+    sizes, table = [], context_mixing.Table
+    monkeypatch.setattr(context_mixing, "MOST_CONTEXTS", 20_000)
+    monkeypatch.setattr(context_mixing, "Table", lambda *a: sizes.append(len((t := table(*a)).contexts)) or t)
+    got, tables, _ = scored(raw)
+    assert got == pytest.approx(context_mixing.mixed_log2(model, raw, tables), rel=1e-4)
+    assert sizes.pop() > 80_000 and max(sizes) <= 2 * 20_000 + 1
